@@ -7,6 +7,6 @@ def catalog_of_queries():
     """Import every query module (registration happens on import) and return
     ``(QUERIES, ORACLE)``."""
     from tidemark.plans import registry
-    from tidemark.plans import enrichment, filechecks, reconcile, snapshots  # noqa: F401
+    from tidemark.plans import enrichment, filechecks, loads, reconcile, snapshots  # noqa: F401
 
     return registry.QUERIES, registry.ORACLE
