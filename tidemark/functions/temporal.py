@@ -143,3 +143,15 @@ def utc_to_epoch_ms(c) -> Column:
     """UTC wall clock -> epoch milliseconds (exact, session-zone free)."""
     return F.timestamp_diff("MILLISECOND", _epoch(),
                             _c(c).cast("timestamp_ntz"))
+
+
+def utc_instant(c) -> Column:
+    """UTC wall clock (TIMESTAMP_NTZ) -> TIMESTAMP instant, session-zone free
+    (event-time columns for watermarks must be TIMESTAMP)."""
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), _c(c).cast("timestamp_ntz"))
+    return F.timestamp_micros(micros)
+
+
+def instant_to_utc(c) -> Column:
+    """TIMESTAMP instant -> UTC wall clock (TIMESTAMP_NTZ), session-zone free."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), _epoch())

@@ -79,14 +79,15 @@ def iso_text(col: str, digits: int = 6):
     return F.date_format(F.col(col), f"yyyy-MM-dd'T'HH:mm:ss{frac}'Z'")
 
 
-def envelope(df: DataFrame, id_col: str, payload: dict) -> DataFrame:
-    """Render rows as landing JSON lines (one ``value`` string per row)."""
+def envelope(df: DataFrame, id_col: str, payload: dict, keep=()) -> DataFrame:
+    """Render rows as landing JSON lines (one ``value`` string per row, plus
+    the ``keep`` columns, e.g. a folder partition)."""
     body = F.struct(
         F.concat(F.lit("ab-"), F.col(id_col).cast("string")).alias("_airbyte_ab_id"),
         F.lit(1706745600000).alias("_airbyte_emitted_at"),
         F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in payload.items()])
          .alias("_airbyte_data"))
-    return df.select(F.to_json(body).alias("value"))
+    return df.select(F.to_json(body).alias("value"), *keep)
 
 
 def customer_envelope(t: Tables, extra: bool = False) -> DataFrame:
