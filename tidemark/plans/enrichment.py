@@ -182,10 +182,13 @@ def multi_left_join_fact(spark, sf_dir):
     YY = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     B = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     C = t.part.select("p_partkey", "p_brand", "p_type")            # J7 pruned subquery
-    CN = prefixed(t.nation, "cn_")                                  # J5 roles of nation
-    SN = prefixed(t.nation, "sn_")
-    M2 = prefixed(t.region, "m2_")
-    SR = prefixed(t.region, "sr_")
+    # Each dimension is size-checked once; both of its roles reuse the result
+    # (the broadcast hint survives the renaming projection).
+    nation, region = maybe_broadcast(t.nation), maybe_broadcast(t.region)
+    CN = prefixed(nation, "cn_")                                    # J5 roles of nation
+    SN = prefixed(nation, "sn_")
+    M2 = prefixed(region, "m2_")
+    SR = prefixed(region, "sr_")
     # IN1 (events per customer) is never selected; under DISTINCT it cannot
     # change the result, so it is not joined.
     x = A.join(ZZ, A["l_orderkey"] == ZZ["o_orderkey"], "left")
@@ -193,12 +196,12 @@ def multi_left_join_fact(spark, sf_dir):
     x = x.join(B, x["l_suppkey"] == B["s_suppkey"], "left")
     x = x.join(C, x["l_partkey"] == C["p_partkey"], "left")
     x = x.join(PS, (x["l_partkey"] == PS["ps_partkey"]) & (x["l_suppkey"] == PS["ps_suppkey"]), "left")
-    x = left_join(x, CN, x["c_nationkey"] == CN["cn_n_nationkey"], small=True)
-    x = left_join(x, SN, x["s_nationkey"] == SN["sn_n_nationkey"], small=True)
-    x = left_join(x, M2, x["cn_n_regionkey"] == M2["m2_r_regionkey"], small=True)
+    x = left_join(x, CN, x["c_nationkey"] == CN["cn_n_nationkey"])
+    x = left_join(x, SN, x["s_nationkey"] == SN["sn_n_nationkey"])
+    x = left_join(x, M2, x["cn_n_regionkey"] == M2["m2_r_regionkey"])
     # Constant predicate of the ON clause applied to the right side first.
     x = left_join(x, SR, x["sn_n_regionkey"] == SR["sr_r_regionkey"],
-                  right_filter=F.col("sr_r_name") == "EUROPE", small=True)
+                  right_filter=F.col("sr_r_name") == "EUROPE")
     x = x.join(W, F.to_date(x["l_shipdate"]) == W["ship_date"], "left")
     return x.select(
         F.col("l_orderkey").alias("BillDelivery"), "l_linenumber", "l_partkey", "l_suppkey",
