@@ -7,6 +7,7 @@ def catalog_of_queries():
     """Import every query module (registration happens on import) and return
     ``(QUERIES, ORACLE)``."""
     from tidemark.plans import registry
-    from tidemark.plans import enrichment, filechecks, loads, reconcile, snapshots, streams  # noqa: F401
+    from tidemark.plans import (enrichment, filechecks, loads, model_runs, reconcile,  # noqa: F401
+                                snapshots, streams)
 
     return registry.QUERIES, registry.ORACLE

@@ -28,7 +28,7 @@ def on_or_before(col: str, cutoff: dt.date):
     return F.to_date(F.col(col)) <= F.lit(cutoff)
 
 
-@query("latest_order_per_customer", ("P4", "R1", "P2", "M12"), oracle="""
+@query("latest_order_per_customer", ("P4", "R1", "P2", "M5", "M12"), oracle="""
 SELECT * EXCLUDE (rnk) FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey
                                ORDER BY o_orderdate DESC, o_orderkey DESC) AS rnk
@@ -89,7 +89,7 @@ def latest_key_expression(spark, sf_dir, cutoff: dt.date = dt.date(1999, 12, 31)
                           [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
 
 
-@query("latest_with_eod_date", ("P5", "R5", "M9", "M10"), oracle="""
+@query("latest_with_eod_date", ("P5", "R5", "M6", "M9"), oracle="""
 SELECT * EXCLUDE (rnk, part_date) FROM (
   SELECT *, CAST(ts AS DATE) AS part_date,
          CAST(CAST(ts AS DATE) - INTERVAL 1 DAY AS DATE) AS EOD_Date,
