@@ -33,6 +33,12 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
+    # Plan shape: no pair-producing joins anywhere, and every rank=1 filter
+    # gets its group limit below the shuffle.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if "row_number()" in df._jdf.queryExecution().optimizedPlan().toString() and "Window" in plan:
+        assert "WindowGroupLimit" in plan or "ISLastAction" in df.columns
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     cur = duck.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]

@@ -39,7 +39,7 @@ def test_missing_and_skip(spark):  # Q5, Q10
     m = spark.createDataFrame([("a", dt.date(2024, 1, 1), 0, "p1"), ("b", dt.date(2024, 1, 1), 5, "p2")],
                               "table_name string, file_date date, length long, path string")
     exp = q.expected_pairs(spark.createDataFrame([(dt.date(2024, 1, 1),)], "run_date date"), ["a", "b", "c"])
-    assert sorted(r.table_name for r in q.missing_daily_files(m, exp).collect()) == ["a", "c"]
+    assert sorted(r.table_name for r in q.missing_daily_files(q.daily_file_summary(m), exp).collect()) == ["a", "c"]
     assert [r.table_name for r in q.no_load_decision(m).collect()] == ["a"]
 
 

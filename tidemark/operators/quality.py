@@ -78,10 +78,17 @@ def expected_pairs(dates: DataFrame, tables: Sequence[str], date_col: str = "run
     return dates.select(F.explode(arr).alias("table_name"), F.col(date_col))
 
 
-def missing_daily_files(manifest: DataFrame, expected: DataFrame) -> DataFrame:
-    """Q5: expected (table, run_date) with no non-empty file of that date."""
-    found = (nonempty_files(manifest)
-             .select("table_name", F.col("file_date").alias("run_date")).distinct())
+def daily_file_summary(manifest: DataFrame) -> DataFrame:
+    """(table_name, file_date, n_files, has_data): one partial/final aggregate
+    that the daily checks share (its shuffle is reused, not recomputed)."""
+    return manifest.groupBy("table_name", "file_date").agg(
+        F.count(F.lit(1)).alias("n_files"), F.max(F.col("length") > 0).alias("has_data"))
+
+
+def missing_daily_files(summary: DataFrame, expected: DataFrame) -> DataFrame:
+    """Q5: expected (table, run_date) with no non-empty file of that date.
+    ``summary`` is ``daily_file_summary(manifest)``."""
+    found = summary.filter(F.col("has_data")).select("table_name", F.col("file_date").alias("run_date"))
     miss = anti(expected, found, ["table_name", "run_date"])
     return miss.withColumn(
         "expected_pattern",
@@ -127,7 +134,7 @@ def intraday_shortfall(manifest: DataFrame, daily_totals: dict[str, int]) -> Dat
     hourly = count_by(manifest.select("table_name", F.to_date(ts).alias("run_date"),
                                       F.hour(ts).alias("run_hour")),
                       ["table_name", "run_date", "run_hour"], "n")
-    days = manifest.select("table_name", F.to_date(ts).alias("run_date")).distinct()
+    days = hourly.select("table_name", "run_date").distinct()   # reuses the hourly shuffle
     grid = days.select("table_name", "run_date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("run_hour"))
     totals = F.create_map(*[x for k, v in daily_totals.items() for x in (F.lit(k), F.lit(v))])
     w = (Window.partitionBy("table_name", "run_date").orderBy("run_hour")

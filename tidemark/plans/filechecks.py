@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import Tables
 from tidemark.functions import temporal as tf
-from tidemark.operators.quality import (empty_files, expected_pairs, intraday_shortfall,
+from tidemark.operators.quality import (daily_file_summary, empty_files, expected_pairs, intraday_shortfall,
                                         missing_control_files, missing_daily_files,
                                         no_load_decision, smallest_nonempty_file,
                                         unprocessed_files)
@@ -79,9 +79,9 @@ WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.length > 0 AND m.table_name = e.table_
                                    AND m.file_date = e.run_date)
 """)
 def missing_files(spark, sf_dir):
-    m = landed_manifest(Tables(spark, sf_dir))
-    dates = m.select(F.col("file_date").alias("run_date")).distinct()
-    return missing_daily_files(m, expected_pairs(dates, EXPECTED_TABLES))
+    summary = daily_file_summary(landed_manifest(Tables(spark, sf_dir)))
+    dates = summary.select(F.col("file_date").alias("run_date")).distinct()
+    return missing_daily_files(summary, expected_pairs(dates, EXPECTED_TABLES))
 
 
 @query("control_missing", ("Q6", "S10", "J12"), oracle=_MANIFEST_SQL + """
@@ -94,9 +94,8 @@ WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.v >= 5 AND f.table_name = e.tabl
 """)
 def control_missing(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    m = landed_manifest(t)
     ctrl = parse_control_manifest(control_files(t), "ofm")
-    dates = m.select(F.col("file_date").alias("run_date")).distinct()
+    dates = daily_file_summary(landed_manifest(t)).select(F.col("file_date").alias("run_date")).distinct()
     return missing_control_files(ctrl, expected_pairs(dates, EXPECTED_TABLES))
 
 

@@ -42,14 +42,22 @@ def list_files(spark: SparkSession, path_glob: str) -> DataFrame:
 
 
 def parse_data_manifest(files: DataFrame) -> DataFrame:
-    """table = parent folder; date, epoch and sequence from the file name."""
-    name = file_name(F.col("path"))
-    y, m, d = (F.regexp_extract(name, DATA_NAME, i) for i in (1, 2, 3))
-    return files.select(
-        folder_name(F.col("path")).alias("table_name"), "path", "length",
-        F.to_date(F.concat_ws("-", y, m, d)).alias("file_date"),
-        F.regexp_extract(name, DATA_NAME, 4).cast("bigint").alias("file_epoch_ms"),
-        F.regexp_extract(name, DATA_NAME, 5).cast("int").alias("seq"))
+    """table = parent folder; date, epoch and sequence from the file name.
+
+    The name is split once into an attribute and the parts are read from it,
+    so the (non-cheap) string work is not repeated per output column; files
+    whose name does not follow the data-file pattern are not data files.
+    """
+    named = (files.withColumn("_name", F.substring_index("path", "/", -1))
+                  .filter(F.col("_name").rlike(DATA_NAME))
+                  .withColumn("_parts", F.split(F.regexp_replace("_name", r"\.jsonl$", ""), "_")))
+    part = lambda i: F.element_at("_parts", i)
+    return named.select(
+        F.substring_index(F.substring_index("path", "/", -2), "/", 1).alias("table_name"),
+        "path", "length",
+        F.make_date(part(1).cast("int"), part(2).cast("int"), part(3).cast("int")).alias("file_date"),
+        part(4).cast("bigint").alias("file_epoch_ms"),
+        part(5).cast("int").alias("seq"))
 
 
 def nonempty_files(manifest: DataFrame) -> DataFrame:
