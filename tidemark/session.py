@@ -25,6 +25,24 @@ JOB_CONF = {
 }
 
 
+# Settings for a large cluster (the launcher applies them; listed here so the
+# jobs' assumptions are explicit).  Shuffle partitions start high and AQE
+# coalesces them to ~256 MB by measured size; skewed partitions of joins and
+# rebalances are split; scans read ~256 MB splits.
+CLUSTER_CONF = {
+    **JOB_CONF,
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
