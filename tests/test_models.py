@@ -100,3 +100,15 @@ def test_fact_transport_daily(spark):  # M18
         ("Yes", "L2", "E1", "Nav", "", "CRC3")
     assert (r.account_segment, r.ASSaleChannel, r.IsOntime, r.BDC, r.ISLastAction, r.Doc_Type) == \
         ("Silver", "Store", "Yes", "BDC", "Yes", "DO")
+
+
+def test_backfill_writes_each_cutoff(spark, tmp_shared):  # G6
+    from tidemark.sinks.partitions import replace_partition
+
+    pm = spark.createDataFrame([(1, dt.datetime(2024, 1, d), D(2024, 1, d), d) for d in (1, 3, 5)],
+                               "pid int, updateon timestamp_ntz, report_date date, v int")
+    written = M.backfill(M.product_master_snapshot, {"productmaster": pm}, D(2024, 1, 6), 4, 1,
+                         lambda df, c: replace_partition(df.drop("report_date"), tmp_shared, "cutoff", c))
+    assert written == [D(2024, 1, 2), D(2024, 1, 3), D(2024, 1, 4), D(2024, 1, 5)]
+    got = {r.cutoff: r.v for r in spark.read.parquet(tmp_shared).collect()}
+    assert got == {D(2024, 1, 2): 1, D(2024, 1, 3): 3, D(2024, 1, 4): 3, D(2024, 1, 5): 5}

@@ -145,3 +145,14 @@ def test_monthly_history_layout(spark, tmp_shared):  # S14
         with open(f"{p}/2024/{m}/a.TXT", "w") as fh:
             fh.write(f"k|m\n1|{m}\n")
     assert src.read_monthly_history(spark, p, 2024, "k string, m string").count() == 2
+
+
+def test_audit_columns_hour_grain_and_hour_partition(spark, tmp_shared):  # D5, K2
+    df = spark.createDataFrame([(1,)], "v int")
+    out = ty.add_audit_columns(df, dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5, 10, 30), grain="hour")
+    r = out.first()
+    assert (r.report_date, r.run_date) == (dt.datetime(2024, 1, 5, 10), dt.datetime(2024, 1, 5, 10, 30))
+    assert dict(out.dtypes)["report_date"] == "timestamp_ntz"
+    target = replace_partition(out, tmp_shared, "report_hour", dt.datetime(2024, 1, 5, 10))
+    assert target.endswith("report_hour=2024010510")
+    assert spark.read.parquet(tmp_shared).first().report_hour == 2024010510
