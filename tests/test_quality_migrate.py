@@ -13,7 +13,7 @@ def test_control_vs_data(spark):  # Q1
                                  "IntefaceName string, BuCode string, FileCount string, TotalRec string, "
                                  "BatchDate string, Requester string, DIHBatchID string")
     counts = spark.createDataFrame([("T1", dt.date(2024, 1, 5), 9)], "table_name string, data_date date, data_row_count long")
-    rows = q.control_vs_data(ctrl, counts, "b2s").collect()
+    rows = q.control_vs_data(ctrl, counts, "brand_a").collect()
     assert [(r.IntefaceName, r.ctrl_row_count, r.data_row_count) for r in rows] == [("T1", 10, 9), ("T2", 3, None)]
 
 

@@ -63,16 +63,16 @@ def test_delimited_null_marker_and_multiline(spark, tmp_shared):  # S6, T13
 
 
 def test_manifest_parsing_and_discovery(spark):  # S1, S10, S15
-    files = spark.createDataFrame([("gs://b/ofm/tbA/2024_01_05_1704445200000_0.jsonl", 10),
-                                   ("gs://b/ofm/erp_x/2024_01_05_1704445200000_1.jsonl", 0)],
+    files = spark.createDataFrame([("gs://b/landing/tbA/2024_01_05_1704445200000_0.jsonl", 10),
+                                   ("gs://b/landing/erp_x/2024_01_05_1704445200000_1.jsonl", 0)],
                                   "path string, length bigint")
     m = mf.parse_data_manifest(files)
     r = m.orderBy("path").first()
     assert (r.table_name, r.file_date, r.file_epoch_ms, r.seq) == ("erp_x", dt.date(2024, 1, 5), 1704445200000, 1)
     assert [x.table_name for x in mf.discover_tables(m).collect()] == ["tbA"]
     assert mf.files_for_hour(m, "2024010509").count() == 2
-    ctrl = spark.createDataFrame([("gs://b/c/ofm_tbA_1704412800.ctrl", 5)], "path string, length bigint")
-    c = mf.parse_control_manifest(ctrl, "ofm").first()
+    ctrl = spark.createDataFrame([("gs://b/c/src_tbA_1704412800.ctrl", 5)], "path string, length bigint")
+    c = mf.parse_control_manifest(ctrl, "src").first()
     assert (c.table_name, c.ctrl_date) == ("tbA", dt.date(2024, 1, 5))
 
 
@@ -130,8 +130,8 @@ def test_relayout_and_export(spark, tmp_shared):  # K8, K5
 def test_control_readers(spark, tmp_shared):  # S8, S9
     p = tmp_shared.replace("file:", "")
     os.makedirs(p, exist_ok=True)
-    with open(f"{p}/BCH_JDA_X_2024-01-05.ctrl", "w") as fh:
-        fh.write("IntefaceName|BuCode|FileCount|TotalRec|BatchDate|Requester|DIHBatchID\nX|B2S|1|42|05012024235959|DIH|B1\n")
+    with open(f"{p}/CTRL_X_2024-01-05.ctrl", "w") as fh:
+        fh.write("IntefaceName|BuCode|FileCount|TotalRec|BatchDate|Requester|DIHBatchID\nX|BU01|1|42|05012024235959|ETL|B1\n")
     with open(f"{p}/POS_X_2024-01-05.LOG", "w") as fh:
         fh.write("FileCreateDate|FileCreateTime|DataRowCount\n20240105|235959|42\n")
     assert src.read_control_jda(spark, f"{p}/*.ctrl").first().TotalRec == "42"

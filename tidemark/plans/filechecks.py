@@ -44,13 +44,13 @@ def landed_manifest(t: Tables):
 
 
 def control_files(t: Tables):
-    """One ``ofm_<table>_<epoch s>.ctrl`` per (type, day) whose first event has
+    """One ``src_<table>_<epoch s>.ctrl`` per (type, day) whose first event has
     value >= 5; other days have no control file."""
     ev = t.events.withColumn("d", F.to_date("ts"))
     first = ev.groupBy("event_type", "d").agg(F.min_by("value", "ts").alias("v"),
                                               F.min("ts").alias("first_ts"))
     return (first.filter(F.col("v") >= 5)
-            .select(F.concat(F.lit("ctrl/ofm_"), F.col("event_type"), F.lit("_"),
+            .select(F.concat(F.lit("ctrl/src_"), F.col("event_type"), F.lit("_"),
                              F.floor(tf.utc_to_epoch_ms(F.col("first_ts")) / 1000).cast("string"),
                              F.lit(".ctrl")).alias("path"),
                     F.lit(120).cast("bigint").alias("length")))
@@ -94,7 +94,7 @@ WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.v >= 5 AND f.table_name = e.tabl
 """)
 def control_missing(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    ctrl = parse_control_manifest(control_files(t), "ofm")
+    ctrl = parse_control_manifest(control_files(t), "src")
     dates = daily_file_summary(landed_manifest(t)).select(F.col("file_date").alias("run_date")).distinct()
     return missing_control_files(ctrl, expected_pairs(dates, EXPECTED_TABLES))
 

@@ -257,13 +257,13 @@ def stage_field_addition(spark, sf_dir):
     return staged.select("c_custkey", "c_name", "loyalty_tier", F.col("drop_id").cast("int"))
 
 
-def _jda_control_lines(t: Tables) -> DataFrame:
-    from tidemark.plans.reconcile import jda_control_rows
+def _control_lines(t: Tables) -> DataFrame:
+    from tidemark.plans.reconcile import control_file_rows
 
-    rows = jda_control_rows(t)
+    rows = control_file_rows(t)
     year_end = F.make_date(F.substring("BatchDate", 5, 4).cast("int"), F.lit(12), F.lit(31))
     return rows.withColumn("file_name", F.concat(
-        F.lit("BCH_JDA_DataPlatform_"), F.col("IntefaceName"), F.lit("_"),
+        F.lit("CTRL_"), F.col("IntefaceName"), F.lit("_"),
         F.date_format(year_end, "yyyy-MM-dd"), F.lit(".ctrl")))
 
 
@@ -274,15 +274,15 @@ ctrl AS (
   UNION ALL
   SELECT 'lineitem', CAST(COUNT(*) AS VARCHAR), o.d
   FROM lineitem l LEFT JOIN o ON l.l_orderkey = o.o_orderkey WHERE o.d IS NOT NULL GROUP BY o.d)
-SELECT IntefaceName, 'B2S' AS BuCode, '1' AS FileCount, TotalRec,
-       strftime(d, '%d%m%Y') || '235959' AS BatchDate, 'DIH' AS Requester,
+SELECT IntefaceName, 'BU01' AS BuCode, '1' AS FileCount, TotalRec,
+       strftime(d, '%d%m%Y') || '235959' AS BatchDate, 'ETL' AS Requester,
        'B' || strftime(d, '%Y%m%d') AS DIHBatchID,
        make_date(year(d), 12, 31) AS file_date
 FROM ctrl
 """)
 def control_read_jda(spark, sf_dir):
     root = shared_dir(spark, "ctrl")
-    lines = _jda_control_lines(Tables(spark, sf_dir))
+    lines = _control_lines(Tables(spark, sf_dir))
     write_named_files(lines, f"{root}/outbound", "file_name",
                       [c.name for c in JDA_CONTROL_SCHEMA.fields], sep="|")
     files = files_by_suffix_date(list_files(spark, f"{root}/outbound/*"), "ctrl")
@@ -303,7 +303,7 @@ def control_read_pos(spark, sf_dir):
     lines = per_day.select(
         F.date_format("d", "yyyyMMdd").alias("FileCreateDate"), F.lit("235959").alias("FileCreateTime"),
         F.col("DataRowCount").cast("string").alias("DataRowCount"),
-        F.concat(F.lit("POS_TXN_SALES_"), F.year("d").cast("string"), F.lit("-12-31.LOG")).alias("file_name"))
+        F.concat(F.lit("SALES_"), F.year("d").cast("string"), F.lit("-12-31.LOG")).alias("file_name"))
     root = shared_dir(spark, "poslog")
     write_named_files(lines, f"{root}/outbound", "file_name",
                       [c.name for c in POS_CONTROL_SCHEMA.fields], sep="|")

@@ -1,7 +1,7 @@
 """The model functions of ``tidemark.plans.models`` run on the test tables.
 
 Each query renames test-table columns to the source columns a model reads
-(e.g. lineitem as the JDA stock extract: supplier = store, part = SKU, ship
+(e.g. lineitem as a stock extract: supplier = store, part = SKU, ship
 date = ingestion date) and calls the model unchanged.  The oracle SQL is the
 model's SQL over the same renamed input, with the model's full tie-break.
 """
@@ -56,7 +56,7 @@ def model_accounting_stock_compact(spark, sf_dir):
     return M.accounting_stock_balance({"acstk": _acstk(Tables(spark, sf_dir))}, CUTOFF, "compact")
 
 
-def _jda_extract(t: Tables, names: dict[str, str]):
+def _stock_extract(t: Tables, names: dict[str, str]):
     li = t.lineitem
     cols = {"store": F.col("l_suppkey"), "sku": F.col("l_partkey"),
             "eod": F.date_format("l_shipdate", "yyyyMMdd").cast("int"),
@@ -65,7 +65,7 @@ def _jda_extract(t: Tables, names: dict[str, str]):
     return li.select(*[cols[k].alias(v) for k, v in names.items()])
 
 
-_JDA_CTE = """
+_EXTRACT_CTE = """
 WITH src AS (
   SELECT l_suppkey AS {store}, l_partkey AS {sku},
          CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS {eod},
@@ -75,7 +75,7 @@ WITH src AS (
 """
 
 
-@query("model_stock_balance_shifted", ("M8", "M7", "P5", "R2"), oracle=_JDA_CTE.format(
+@query("model_stock_balance_shifted", ("M8", "M7", "P5", "R2"), oracle=_EXTRACT_CTE.format(
     store="XSTORE", sku="XSKU", eod="EODDAT", qty="XQTY", ord="XORD", line="XLINE") + """
 SELECT * EXCLUDE (rnk, _partition_date) FROM (
   SELECT *, row_number() OVER (PARTITION BY XSTORE, XSKU ORDER BY EODDAT DESC, _partition_date DESC,
@@ -84,13 +84,13 @@ SELECT * EXCLUDE (rnk, _partition_date) FROM (
 WHERE rnk = 1
 """)
 def model_stock_balance_shifted(spark, sf_dir):
-    stk = _jda_extract(Tables(spark, sf_dir), {"store": "XSTORE", "sku": "XSKU", "eod": "EODDAT",
+    stk = _stock_extract(Tables(spark, sf_dir), {"store": "XSTORE", "sku": "XSKU", "eod": "EODDAT",
                                               "part": "_partition_date", "qty": "XQTY",
                                               "ord": "XORD", "line": "XLINE"})
     return M.stock_balance({"stk": stk}, CUTOFF, shifted=True)
 
 
-@query("model_sku_snapshot", ("M5", "M6", "P4", "R1"), oracle=_JDA_CTE.format(
+@query("model_sku_snapshot", ("M5", "M6", "P4", "R1"), oracle=_EXTRACT_CTE.format(
     store="ISUPP", sku="INUMBR", eod="EODDAT", qty="IQTY", ord="IORD", line="ILINE") + """
 SELECT * EXCLUDE (rnk, _partition_date) FROM (
   SELECT *, row_number() OVER (PARTITION BY INUMBR ORDER BY EODDAT DESC, _partition_date DESC,
@@ -99,13 +99,13 @@ SELECT * EXCLUDE (rnk, _partition_date) FROM (
 WHERE rnk = 1
 """)
 def model_sku_snapshot(spark, sf_dir):
-    sku = _jda_extract(Tables(spark, sf_dir), {"store": "ISUPP", "sku": "INUMBR", "eod": "EODDAT",
+    sku = _stock_extract(Tables(spark, sf_dir), {"store": "ISUPP", "sku": "INUMBR", "eod": "EODDAT",
                                               "part": "_partition_date", "qty": "IQTY",
                                               "ord": "IORD", "line": "ILINE"})
     return M.sku_snapshot({"sku": sku}, CUTOFF)
 
 
-@query("model_replenishment", ("M9", "R5", "P5"), oracle=_JDA_CTE.format(
+@query("model_replenishment", ("M9", "R5", "P5"), oracle=_EXTRACT_CTE.format(
     store="ISTORE", sku="INUMBR", eod="IEOD", qty="IQTY", ord="IORD", line="ILINE") + """
 SELECT * EXCLUDE (rnk, _partition_date) FROM (
   SELECT *, CAST(_partition_date - INTERVAL 1 DAY AS DATE) AS EOD_Date,
@@ -115,7 +115,7 @@ SELECT * EXCLUDE (rnk, _partition_date) FROM (
 WHERE rnk = 1
 """)
 def model_replenishment(spark, sf_dir):
-    r = _jda_extract(Tables(spark, sf_dir), {"store": "ISTORE", "sku": "INUMBR", "eod": "IEOD",
+    r = _stock_extract(Tables(spark, sf_dir), {"store": "ISTORE", "sku": "INUMBR", "eod": "IEOD",
                                             "part": "_partition_date", "qty": "IQTY",
                                             "ord": "IORD", "line": "ILINE"})
     return M.replenishment_profile({"rplprf": r}, CUTOFF)
@@ -289,17 +289,17 @@ data AS (
   SELECT 'lineitem', CAST(l_shipdate AS DATE), COUNT(*) FROM lineitem
   WHERE CAST(l_shipdate AS DATE) = DATE '1998-06-30' GROUP BY 1, 2)
 SELECT IntefaceName, d AS ctrl_date, CAST(TotalRec AS BIGINT) AS ctrl_row_count,
-       table_name AS table_name_frm_data, data_date, data_row_count, 'ofm' AS brand
+       table_name AS table_name_frm_data, data_date, data_row_count, 'brand_b' AS brand
 FROM ctrl LEFT JOIN data ON IntefaceName = table_name AND d = data_date
 WHERE d = DATE '1998-06-30'
 """)
 def model_data_vs_ctrl(spark, sf_dir):
     """Control files are ingested on their batch day; data tables on their row day."""
     from tidemark.operators.unions import table_set
-    from tidemark.plans.reconcile import jda_control_rows
+    from tidemark.plans.reconcile import control_file_rows
 
     t = Tables(spark, sf_dir)
-    ctrl = jda_control_rows(t).withColumn("_partition_date", tf.parse_ddmmyyyy_prefix("BatchDate"))
+    ctrl = control_file_rows(t).withColumn("_partition_date", tf.parse_ddmmyyyy_prefix("BatchDate"))
     data = table_set({"orders": t.orders.select(F.to_date("o_orderdate").alias("_partition_date")),
                       "lineitem": t.lineitem.select(F.to_date("l_shipdate").alias("_partition_date"))})
-    return M.data_vs_ctrl({"ctrl": ctrl, "data": data}, CUTOFF, "ofm")
+    return M.data_vs_ctrl({"ctrl": ctrl, "data": data}, CUTOFF, "brand_b")

@@ -12,9 +12,9 @@ from tidemark.operators.unions import aligned, table_set, union_all
 from tidemark.plans.registry import query
 
 
-def jda_control_rows(t: Tables):
+def control_file_rows(t: Tables):
     """Control records as a source system declares them: one per (interface,
-    batch day), the 7 JDA string fields.  ``orders`` declares its rows per order
+    batch day), the 7 string fields of the control layout.  ``orders`` declares its rows per order
     day; ``lineitem`` declares lines per *order* day, while the loaded lineitem
     rows are dated by ship day -- so the reconciliation has real mismatches."""
     o = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"))
@@ -24,10 +24,10 @@ def jda_control_rows(t: Tables):
     def ctrl(df, name):
         c = count_by(df, ["d"], "n")
         return c.select(
-            F.lit(name).alias("IntefaceName"), F.lit("B2S").alias("BuCode"),
+            F.lit(name).alias("IntefaceName"), F.lit("BU01").alias("BuCode"),
             F.lit("1").alias("FileCount"), F.col("n").cast("string").alias("TotalRec"),
             F.concat(F.date_format("d", "ddMMyyyy"), F.lit("235959")).alias("BatchDate"),
-            F.lit("DIH").alias("Requester"),
+            F.lit("ETL").alias("Requester"),
             F.concat(F.lit("B"), F.date_format("d", "yyyyMMdd")).alias("DIHBatchID"))
 
     return union_all([ctrl(o, "orders"), ctrl(lines, "lineitem")])
@@ -55,7 +55,7 @@ data AS (
 SELECT IntefaceName,
        CAST(strptime(substring(BatchDate, 1, 8), '%d%m%Y') AS DATE) AS ctrl_date,
        CAST(TotalRec AS BIGINT) AS ctrl_row_count,
-       table_name AS table_name_frm_data, data_date, data_row_count, 'b2s' AS brand
+       table_name AS table_name_frm_data, data_date, data_row_count, 'brand_a' AS brand
 FROM ctrl LEFT JOIN data
   ON IntefaceName = table_name
  AND CAST(strptime(substring(BatchDate, 1, 8), '%d%m%Y') AS DATE) = data_date
@@ -67,7 +67,7 @@ def control_vs_data_query(spark, sf_dir):
     data = table_set({"orders": t.orders.select(F.to_date("o_orderdate").alias("data_date")),
                       "lineitem": t.lineitem.select(F.to_date("l_shipdate").alias("data_date"))})
     counts = count_by(data, ["table_name", "data_date"], "data_row_count")
-    return control_vs_data(jda_control_rows(t), counts, "b2s")
+    return control_vs_data(control_file_rows(t), counts, "brand_a")
 
 
 @query("env_row_compare", ("Q2", "J10", "A1", "O1"), oracle="""

@@ -23,7 +23,7 @@ from tidemark.functions import temporal as tf
 DATA_NAME = r"(\d{4})_(\d{2})_(\d{2})_(\d+)_(\d+)\.jsonl$"
 CONTROL_NAME = r"^(.+)_(\d+)\.ctrl$"
 SUFFIX_DATE_NAME = r"_(\d{4}-\d{2}-\d{2})\.([A-Za-z]+)$"
-# Daily loads skip folders of these sources (handled by their own jobs).
+# Daily loads skip folders of these sources (they have their own jobs).
 DAILY_EXCLUDED_PREFIXES = ("erp_", "mercury_")
 
 
