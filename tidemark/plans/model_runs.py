@@ -303,3 +303,122 @@ def model_data_vs_ctrl(spark, sf_dir):
     data = table_set({"orders": t.orders.select(F.to_date("o_orderdate").alias("_partition_date")),
                       "lineitem": t.lineitem.select(F.to_date("l_shipdate").alias("_partition_date"))})
     return M.data_vs_ctrl({"ctrl": ctrl, "data": data}, CUTOFF, "brand_b")
+
+
+# ------------------------------------------------------------ M13, M15 ------
+
+PW_FIRST_RUN = dt.date(1996, 1, 1)   # the model's first run date, moved into the test data's range
+
+_PW_COLUMNS = [  # (name, Spark expression builder, SQL expression) of the product-warehouse extract
+    ("amt", lambda: F.col("l_extendedprice"), "l_extendedprice"),
+    ("pid", lambda: F.col("l_partkey"), "l_partkey"),
+    ("onpw", lambda: F.col("l_quantity"), "l_quantity"),
+    ("onrd", lambda: F.col("l_discount") * 100, "l_discount * 100"),
+    ("onrt", lambda: F.col("l_tax") * 100, "l_tax * 100"),
+    ("unit", lambda: F.col("l_linestatus"), "l_linestatus"),
+    ("whid", lambda: F.col("l_suppkey"), "l_suppkey"),
+    ("onpic", lambda: F.col("l_quantity") / 2, "l_quantity / 2"),
+    ("onplt", lambda: F.col("l_linenumber"), "l_linenumber"),
+    ("onpru", lambda: F.col("l_quantity") + 0.5, "l_quantity + 0.5"),
+    ("pname", lambda: F.col("l_returnflag"), "l_returnflag"),
+    ("onsale", lambda: F.col("l_extendedprice") / 100, "l_extendedprice / 100"),
+    ("onhand", lambda: F.col("l_quantity") * 3, "l_quantity * 3"),
+    ("whname", lambda: F.concat(F.lit("WH"), F.col("l_suppkey").cast("string")), "'WH' || CAST(l_suppkey AS STRING)"),
+    ("avgcost", lambda: F.col("l_extendedprice") / F.col("l_quantity"), "l_extendedprice / l_quantity"),
+    ("storeid", lambda: F.col("l_linestatus"), "l_linestatus"),
+    ("createby", lambda: F.concat(F.lit("u"), F.col("l_orderkey").cast("string")), "'u' || CAST(l_orderkey AS STRING)"),
+    ("createon", lambda: F.col("l_shipdate"), "l_shipdate"),
+    ("updateby", lambda: F.concat(F.lit("v"), F.col("l_linenumber").cast("string")), "'v' || CAST(l_linenumber AS STRING)"),
+    ("updateon", lambda: F.col("l_shipdate"), "l_shipdate"),
+    ("ordertype", lambda: F.col("l_returnflag"), "l_returnflag"),
+    ("storename", lambda: F.concat(F.lit("store "), F.col("l_linestatus")), "'store ' || l_linestatus"),
+    ("lastrcvdate", lambda: F.col("l_shipdate"), "l_shipdate"),
+    ("createbyname", lambda: F.lit("creator"), "'creator'"),
+    ("updatebyname", lambda: F.lit("updater"), "'updater'"),
+    ("report_date", lambda: F.to_date("l_shipdate"), "CAST(l_shipdate AS DATE)"),
+    ("run_date", lambda: F.date_add(F.to_date("l_shipdate"), 1), "CAST(CAST(l_shipdate AS DATE) + INTERVAL 1 DAY AS DATE)"),
+]
+_PW_INT = ("onpw", "onrd", "onrt", "onpic", "onplt", "onpru", "onsale", "onhand")
+_PW_TS = ("createon", "updateon", "lastrcvdate")
+
+
+def _pw(t: Tables):
+    return t.lineitem.select(*[e().alias(n) for n, e, _ in _PW_COLUMNS])
+
+
+def _pw_sql() -> str:
+    return "pw AS (SELECT " + ", ".join(f"{s} AS {n}" for n, _, s in _PW_COLUMNS) + " FROM lineitem)"
+
+
+def _pw_select() -> str:
+    out = []
+    for n, _, _ in _PW_COLUMNS:
+        if n in _PW_INT:
+            out.append(f"CAST(round({n}) AS BIGINT) AS {n}")
+        elif n in _PW_TS:
+            out.append(f"date_trunc('second', {n}) AS {n}")
+        else:
+            out.append(n)
+    return ", ".join(out)
+
+
+_PW_TIEBREAK = ", ".join(f"{n} DESC" for n, _, _ in _PW_COLUMNS if n not in ("pid", "storeid", "whid", "updateon"))
+
+
+@query("model_product_warehouse", ("M13", "A4", "R8", "P7", "T1", "CAST"), oracle=f"""
+WITH {_pw_sql()},
+tmp AS (SELECT DISTINCT * FROM pw WHERE run_date >= DATE '1996-01-01' AND report_date <= DATE '1998-06-30'),
+tmp2 AS (SELECT *, row_number() OVER (PARTITION BY pid, storeid, whid ORDER BY updateon DESC, {_PW_TIEBREAK}) AS rnk
+         FROM tmp)
+SELECT {_pw_select()} FROM tmp2 WHERE rnk = 1
+""")
+def model_product_warehouse(spark, sf_dir):
+    return M.product_warehouse_snapshot({"productwarehouse": _pw(Tables(spark, sf_dir))}, CUTOFF,
+                                        first_run=PW_FIRST_RUN)
+
+
+@query("model_productwarehouse_detail", ("M15", "U1", "U2", "R6", "R1", "J1"), oracle="""
+WITH product_base AS (
+  SELECT p_partkey AS PID, CAST(p_size AS STRING) AS PIDOD, CAST(p_size AS STRING) AS DEPT_ID,
+         CAST(p_size AS STRING) AS SUBDEPT_ID, CAST(p_size AS STRING) AS CLASS,
+         CAST(p_size AS STRING) AS SUB_CLASS, p_type AS CATEGORY_ID, p_brand AS SUB_CATEGORY_ID,
+         p_brand AS BRAND_ID, CAST(NULL AS STRING) AS SUPPLIER_ID, DATE '1994-12-31' AS TRANS_DATE
+  FROM part
+  UNION ALL
+  SELECT l_partkey, CAST(l_linenumber AS STRING), l_returnflag, l_linestatus, l_returnflag,
+         l_linestatus, 'CAT', 'SUB', 'BR', CAST(l_suppkey AS STRING), CAST(l_shipdate AS DATE)
+  FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '1998-06-30'),
+latest AS (
+  SELECT * EXCLUDE (rnk) FROM (
+    SELECT *, row_number() OVER (PARTITION BY PID ORDER BY TRANS_DATE DESC, PIDOD DESC,
+              DEPT_ID DESC, SUBDEPT_ID DESC, CLASS DESC, SUB_CLASS DESC, CATEGORY_ID DESC,
+              SUB_CATEGORY_ID DESC, BRAND_ID DESC, SUPPLIER_ID DESC) AS rnk
+    FROM product_base) WHERE rnk = 1),
+hist AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS ymdata, l_partkey AS pid, l_linestatus AS storeid,
+         l_suppkey AS whid, l_shipdate AS updateon, l_quantity AS qty,
+         last_day(CAST(strptime(regexp_replace(strftime(l_shipdate, '%Y-%m'), '[^0-9]+', '', 'g') || '01',
+                                '%Y%m%d') AS DATE)) AS file_date
+  FROM lineitem),
+t AS (
+  SELECT l_partkey AS pid, l_linestatus AS StoreID, l_suppkey AS WHID, CAST(l_shipdate AS DATE) AS file_date
+  FROM lineitem WHERE CAST(l_shipdate AS DATE) = DATE '1998-06-30'
+  UNION ALL
+  SELECT pid, storeid, whid, file_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY pid, storeid, file_date
+                                 ORDER BY updateon DESC, ymdata DESC, whid DESC, qty DESC) AS rnk
+    FROM hist WHERE file_date = DATE '1998-06-30') WHERE rnk = 1)
+SELECT t.*, p.PIDOD, p.DEPT_ID, p.SUBDEPT_ID, p.CLASS, p.SUB_CLASS, p.CATEGORY_ID,
+       p.SUB_CATEGORY_ID, p.BRAND_ID, p.SUPPLIER_ID
+FROM t LEFT JOIN latest p ON p.PID = t.pid
+""")
+def model_productwarehouse_detail(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    li = t.lineitem
+    snapshot = li.select(F.col("l_partkey").alias("pid"), F.col("l_linestatus").alias("storeid"),
+                         F.col("l_suppkey").alias("whid"), F.to_date("l_shipdate").alias("_partition_date"))
+    history = li.select(F.date_format("l_shipdate", "yyyy-MM").alias("ymdata"), F.col("l_partkey").alias("pid"),
+                        F.col("l_linestatus").alias("storeid"), F.col("l_suppkey").alias("whid"),
+                        F.col("l_shipdate").alias("updateon"), F.col("l_quantity").alias("qty"))
+    inputs = dict(_product_inputs(t), pw_snapshot=snapshot, pw_history=history)
+    return M.productwarehouse_product_detail(inputs, CUTOFF)
