@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,15 +198,21 @@ def required_violations(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
 def enforce_required(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """D7 as a guard: fails the job when a REQUIRED column holds NULL.
 
-    The check is fused into the projection (``raise_error`` inside a CASE), so
-    it costs no extra pass over the data.
+    Each REQUIRED column becomes ``coalesce(col, raise_error(...))``: the check
+    rides in the same projection (no extra pass, and -- unlike a filter, which
+    Catalyst would push below the projection and so re-evaluate every parse --
+    each value is computed once).
     """
-    req = [f.name for f in fields if f.mode == "REQUIRED"]
-    if not req:
-        return df
-    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in req])
-    msg = F.lit("REQUIRED column is NULL (one of: " + ", ".join(req) + ")")
-    return df.filter(F.when(bad, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
+    req = {f.name.lower() for f in fields if f.mode == "REQUIRED"}
+    types = {c.lower(): t for c, t in df.dtypes}
+    cols = []
+    for c in df.columns:
+        if c.lower() in req:
+            err = F.raise_error(F.lit(f"REQUIRED column {c} is NULL")).cast(types[c.lower()])
+            cols.append(F.coalesce(F.col(c), err).alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)
 
 
 def retype_columns(df: DataFrame, retypes: Mapping[str, str]) -> DataFrame:

@@ -68,10 +68,18 @@ def dictionary(spark: SparkSession) -> DataFrame:
                          "IS_NULLABLE string, ORDINAL int")
 
 
+_FIELDS: dict[tuple[str, str], list] = {}
+
+
 def fields_of(spark: SparkSession, table: str):
-    d = map_types(dictionary(spark).withColumn("TABLE_NAME", F.lower("TABLE_NAME"))
-                  .withColumn("COLUMN_NAME", F.lower("COLUMN_NAME")))
-    return table_fields(d, table, order_col="ORDINAL")
+    """The typed field list of ``table``.  The dictionary is static
+    configuration, so its mapping job runs once per application and table."""
+    key = (spark.sparkContext.applicationId, table.lower())
+    if key not in _FIELDS:
+        d = map_types(dictionary(spark).withColumn("TABLE_NAME", F.lower("TABLE_NAME"))
+                      .withColumn("COLUMN_NAME", F.lower("COLUMN_NAME")))
+        _FIELDS[key] = table_fields(d, table, order_col="ORDINAL")
+    return list(_FIELDS[key])
 
 
 def iso_text(col: str, digits: int = 6):
