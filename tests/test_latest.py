@@ -43,3 +43,13 @@ def test_latest_with_eod(spark):  # R5
     assert (r.v, r.EOD_Date) == ("y", dt.date(2024, 1, 2))
     r = latest_with_eod(df, ["k"], "p", shift_days=0).first()
     assert r.EOD_Date == dt.date(2024, 1, 3)
+
+
+def test_broadcast_probe_bounds(spark):
+    from tidemark.operators.joins import fits_broadcast, maybe_broadcast
+
+    small = spark.range(10)
+    assert fits_broadcast(small, max_rows=10) and not fits_broadcast(small, max_rows=9)
+    assert not fits_broadcast(small, max_rows=100, max_probe_bytes=0)   # estimate rules it out
+    plan = spark.range(100).join(maybe_broadcast(small), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

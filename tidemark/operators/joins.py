@@ -1,9 +1,10 @@
 """Join helpers for the enrichment models.
 
-Broadcast policy.  A side is broadcast only after a bounded check proves it
-small: ``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows, so
-the probe stays cheap on a 100 TB table and the plan falls back to a shuffle
-join (sort-merge, with AQE skew splitting) whenever the bound does not hold.
+Broadcast policy.  A side is broadcast only after a check proves it small:
+inputs whose estimated size is large are rejected without running anything,
+and the rest are counted exactly with ``limit(max_rows + 1).count()``.  When
+the bound does not hold the plan keeps a shuffle join (sort-merge, with AQE
+skew splitting).
 Everything else is left to AQE, which re-plans a join as broadcast only from
 measured shuffle sizes.
 """
@@ -20,8 +21,26 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe)."""
+# Inputs whose optimizer size estimate exceeds this are not probed at all: a
+# probe would still schedule one task per input split.
+MAX_PROBE_BYTES = 256 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (planning only, no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_probe_bytes: int = MAX_PROBE_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Two steps: the optimizer's estimate rules out large inputs without running
+    anything; small ones are then counted exactly with a bounded probe
+    (``limit(max_rows + 1).count()``), so the decision never rests on an
+    estimate alone."""
+    if estimated_bytes(df) > max_probe_bytes:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 
