@@ -140,7 +140,7 @@ def intraday_shortfall_query(spark, sf_dir):
 
 @query("files_per_run_hour", ("S4", "A7"), oracle=_MANIFEST_SQL + """
 SELECT table_name, strftime(ts, '%Y%m%d%H') AS run_hour_key, COUNT(*) AS n_files,
-       SUM(length) AS total_bytes
+       CAST(SUM(length) AS BIGINT) AS total_bytes
 FROM m GROUP BY 1, 2
 """)
 def files_per_run_hour(spark, sf_dir):
