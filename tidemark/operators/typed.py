@@ -60,13 +60,15 @@ def type_map_frame(spark: SparkSession) -> DataFrame:
 
 
 def normalise_dictionary(raw: DataFrame, columns: Sequence[str] = (
-        "TABLE_NAME", "COLUMN_NAME", "DATA_TYPE", "IS_NULLABLE")) -> DataFrame:
+        "TABLE_NAME", "COLUMN_NAME", "DATA_TYPE", "IS_NULLABLE"),
+        keep: Sequence[str] = ()) -> DataFrame:
     """Rename a sheet's four header columns (they differ per source) and
-    lower-case table and column names."""
+    lower-case table and column names; ``keep`` carries extra columns (e.g.
+    the row order of the sheet)."""
     t, c, d, n = columns
     return raw.select(F.lower(F.col(t)).alias("TABLE_NAME"), F.lower(F.col(c)).alias("COLUMN_NAME"),
                       F.col(d).cast("string").alias("DATA_TYPE"),
-                      F.col(n).cast("string").alias("IS_NULLABLE"))
+                      F.col(n).cast("string").alias("IS_NULLABLE"), *keep)
 
 
 def map_types(dictionary: DataFrame) -> DataFrame:
