@@ -45,3 +45,14 @@ def test_backfill_on_hot_key(spark):
         best = max((dt.date(2024, 1, 1) + dt.timedelta(days=i % 60), i) for i in ids
                    if dt.date(2024, 1, 1) + dt.timedelta(days=i % 60) <= c)
         assert hot[c] == best
+
+
+def test_left_join_many_matches_left_join_on_hot_key(spark):  # J8
+    from tidemark.operators.joins import left_join_many
+
+    right = spark.range(N).select(F.when(F.col("id") < N // 3, F.lit(0)).otherwise(F.col("id") % 50).alias("k"),
+                                  F.col("id").alias("v"))
+    left = spark.range(-5, 60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    got = left_join_many(left, right, ["k"]).select("k", "w", "v")
+    want = left.join(right, ["k"], "left").select("k", "w", "v")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

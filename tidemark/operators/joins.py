@@ -65,6 +65,22 @@ def left_join(left: DataFrame, right: DataFrame, on, *, right_filter: Column | N
     return left.join(right, on, "left")
 
 
+def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` when ``right`` holds many -- and
+    possibly skewed -- rows per key (J8).
+
+    In an outer join AQE may split only the preserved side, so a key holding a
+    third of ``right`` would land in one task.  Written as the inner join
+    (either side splittable, or ``left`` broadcast) plus the ``left`` rows
+    without partner (anti join against the distinct keys of ``right``, a
+    partial aggregate), the result is the same rows with no unsplittable
+    partition.
+    """
+    matched = left.join(right, list(keys), "inner")
+    missing = left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    return matched.unionByName(missing, allowMissingColumns=True)
+
+
 def prefixed(df: DataFrame, prefix: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Project ``cols`` (default: all) renamed ``<prefix><col>``: one role of a
     table joined several times (J5: employees as INF, INH, M1)."""

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import temporal as tf
 from tidemark.functions.casts import float_to_int64
 from tidemark.operators.aggregates import count_by, group_distinct, group_max
-from tidemark.operators.joins import maybe_broadcast, prefixed
+from tidemark.operators.joins import left_join_many, maybe_broadcast, prefixed
 from tidemark.operators.latest import flag_latest, latest_per_key
 from tidemark.operators.quality import control_vs_data
 from tidemark.operators.unions import aligned, union_all
@@ -242,14 +242,13 @@ def _dim_join(inputs: Inputs, sku_ids: Sequence[str] | None) -> DataFrame:
     if sku_ids is not None:
         s = s.filter(F.col("sku_id").isin(*sku_ids))
     s = s.filter(F.col("sku_id").isNotNull())
-    c = inputs["channels"].select(F.col("sku_id").alias("_c_sku"), "channel_id",
-                                  "channel_display_name_th", "channel_display_name_en")
-    i = inputs["images"].select(F.col("sku_id").alias("_i_sku"), "size", "url", "cdn_url")
-    p = inputs["price"].select(F.col("sku_id").alias("_p_sku"), "price_type", "price_exclude_vat",
-                               "price_include_vat")
-    return (s.join(c, s["sku_id"] == c["_c_sku"], "left")
-             .join(i, s["sku_id"] == i["_i_sku"], "left")
-             .join(p, s["sku_id"] == p["_p_sku"], "left"))
+    c = inputs["channels"].select("sku_id", "channel_id", "channel_display_name_th",
+                                  "channel_display_name_en")
+    i = inputs["images"].select("sku_id", "size", "url", "cdn_url")
+    p = inputs["price"].select("sku_id", "price_type", "price_exclude_vat", "price_include_vat")
+    # Each side may hold many (and skewed) rows per sku -> skew-safe left joins.
+    return left_join_many(left_join_many(left_join_many(s, c, ["sku_id"]), i, ["sku_id"]),
+                          p, ["sku_id"])
 
 
 def dim_product_attribute(inputs: Inputs, sku_ids: Sequence[str] | None = None) -> DataFrame:
