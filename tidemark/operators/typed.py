@@ -259,6 +259,9 @@ def dictionary_coverage(dictionary_tables: DataFrame, folders: DataFrame,
         F.regexp_replace(F.lower("TABLE_NAME"), "^" + strip_prefix, "").alias("needle")).distinct()
     frags = folders.select(F.col("folder"),
                            F.explode(F.array_distinct(substrings(F.lower("folder")))).alias("needle"))
-    j = names.join(frags, "needle", "left")
+    # a short needle can match very many folder substrings: skew-safe left join
+    from tidemark.operators.joins import left_join_many
+
+    j = left_join_many(names, frags, ["needle"])
     return j.select("table", "folder",
                     F.when(F.col("folder").isNotNull(), "matched").otherwise("not found").alias("status"))
