@@ -191,7 +191,7 @@ def required_violations(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Rows breaking a REQUIRED declaration, with the offending columns."""
     req = [f.name for f in fields if f.mode == "REQUIRED"]
     if not req:
-        return df.limit(0).withColumn("null_columns", F.array().cast("array<string>"))
+        return df.filter(F.lit(False)).withColumn("null_columns", F.array().cast("array<string>"))
     nulls = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in req]),
                      lambda x: x.isNotNull())
     return df.withColumn("null_columns", nulls).filter(F.size("null_columns") > 0)

@@ -358,7 +358,7 @@ def replace_partition_idempotent(spark, sf_dir):
     rows (idempotent) and 2001 replaced with an empty result (emptied)."""
     o = Tables(spark, sf_dir).orders.withColumn("o_year", F.year("o_orderdate"))
     root = shared_dir(spark, "replace")
-    replace_table(o.limit(0), f"{root}/orders_by_year")          # K7 creates/clears the table
+    replace_table(o.filter(F.lit(False)), f"{root}/orders_by_year")   # K7 creates/clears the table
     replace_partitions(o, f"{root}/orders_by_year", ["o_year"])
     for _ in range(2):
         replace_partition(o.filter(F.col("o_year") == 1998), f"{root}/orders_by_year", "o_year", 1998)
