@@ -29,7 +29,8 @@ from tidemark.sinks.partitions import (append, export_csv, relayout_year_month,
 from tidemark.sources.files import (JDA_CONTROL_SCHEMA, POS_CONTROL_SCHEMA, infer_envelope_fields,
                                     read_control_jda, read_control_pos, read_delimited,
                                     read_envelope_jsonl)
-from tidemark.sources.manifest import files_by_suffix_date, list_files
+from tidemark.sources.manifest import discover_tables, files_by_suffix_date, list_files
+from tidemark.operators.unions import union_all
 from tidemark.sinks.files import write_named_files
 
 REPORT_DATE = dt.date(2024, 1, 31)
@@ -551,3 +552,32 @@ def reload_window(spark, sf_dir, run_date: dt.date = dt.date(2024, 1, 20), offse
     back = spark.read.parquet(f"{root}/events")
     return back.groupBy("report_date").agg(F.count(F.lit(1)).alias("n_rows"),
                                            F.round(F.sum("value"), 2).alias("total_value"))
+
+
+@query("infer_schema_report", ("S13", "S15", "S5"), oracle="""
+SELECT table_name, field,
+       CASE WHEN type IN ('BIGINT', 'INTEGER') THEN 'INT64'
+            WHEN type = 'DOUBLE' THEN 'FLOAT64' ELSE 'STRING' END AS inferred_type
+FROM (SELECT 'nation' AS table_name, column_name AS field, column_type AS type FROM (DESCRIBE nation)
+      UNION ALL
+      SELECT 'region', column_name, column_type FROM (DESCRIBE region)
+      UNION ALL
+      SELECT 'supplier', column_name, column_type FROM (DESCRIBE supplier))
+WHERE (SELECT COUNT(*) FROM supplier) > 0
+""")
+def infer_schema_report(spark, sf_dir):
+    """Landing folders of three tables (envelope JSON-lines); the table list is
+    discovered from the folder names (S15) and each table's payload schema is
+    inferred over all of its rows (S13)."""
+    t = Tables(spark, sf_dir)
+    root = shared_dir(spark, "infer")
+    for name in ("nation", "region", "supplier"):
+        df = t.read(name)
+        key = df.columns[0]
+        envelope(df, key, {c: c for c in df.columns}).write.text(f"{root}/landing/{name}")
+    files = list_files(spark, f"{root}/landing/*/*").select(
+        F.regexp_extract("path", r"/landing/([^/]+)/[^/]+$", 1).alias("table_name"), "path", "length")
+    tables = sorted(r.table_name for r in discover_tables(files).collect())
+    reports = [infer_envelope_fields(spark, f"{root}/landing/{name}")
+               .select(F.lit(name).alias("table_name"), "field", "inferred_type") for name in tables]
+    return union_all(reports)
