@@ -331,8 +331,9 @@ SELECT s.p_partkey, s.p_name, s.p_brand, s.p_type, s.p_size, c.l_returnflag, c.l
 def dimension_group_max(spark, sf_dir):
     s, c, i, p = _dimension_inputs(Tables(spark, sf_dir))
     s = s.filter(F.col("p_type").isin("ECONOMY", "PROMO", "STANDARD") & F.col("p_partkey").isNotNull())
-    # Parallel left joins on one key; only ``c`` has many rows per key, the
-    # others are one row per part, so the pre-group row count stays linear.
+    # Parallel left joins on one key.  ``c`` arrives pre-aggregated to the
+    # grouping grain and ``i``/``p`` are one row per part, so no join fans out
+    # and no hot part reaches a single task unreduced.
     x = (s.join(c, s["p_partkey"] == c["l_partkey"], "left")
           .join(i, s["p_partkey"] == i["i_partkey"], "left")
           .join(p, s["p_partkey"] == p["pr_partkey"], "left"))
