@@ -18,11 +18,14 @@ def control_file_rows(t: Tables):
     day; ``lineitem`` declares lines per *order* day, while the loaded lineitem
     rows are dated by ship day -- so the reconciliation has real mismatches."""
     o = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    li = t.lineitem.select("l_orderkey")
-    lines = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left").filter(F.col("d").isNotNull())
-
-    def ctrl(df, name):
-        c = count_by(df, ["d"], "n")
+    # Lines are counted per order before the join (a partial aggregate), so the
+    # join and its shuffle see one row per order instead of one per line.
+    per_order = count_by(t.lineitem, ["l_orderkey"], "n")
+    lines = (per_order.join(o, per_order["l_orderkey"] == o["o_orderkey"], "left")
+             .filter(F.col("d").isNotNull())
+             .groupBy("d").agg(F.sum("n").alias("n")))
+
+    def ctrl(c, name):   # c: (d, n) declared rows per batch day
         return c.select(
             F.lit(name).alias("IntefaceName"), F.lit("BU01").alias("BuCode"),
             F.lit("1").alias("FileCount"), F.col("n").cast("string").alias("TotalRec"),
@@ -30,7 +33,7 @@ def control_file_rows(t: Tables):
             F.lit("ETL").alias("Requester"),
             F.concat(F.lit("B"), F.date_format("d", "yyyyMMdd")).alias("DIHBatchID"))
 
-    return union_all([ctrl(o, "orders"), ctrl(lines, "lineitem")])
+    return union_all([ctrl(count_by(o, ["d"], "n"), "orders"), ctrl(lines, "lineitem")])
 
 
 _CTRL_SQL = """
