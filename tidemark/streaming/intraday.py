@@ -42,8 +42,10 @@ def rebuild_hours_batch(read_hours: Callable[[list[str]], DataFrame], hour_of: C
     """``foreachBatch`` body for X1.
 
     ``hour_of`` maps a typed row to its ``yyyyMMddHH`` hour; ``read_hours``
-    returns typed rows of every landed file that can hold the given hours (it
-    reads only those files, e.g. the day folders of the hours).  The hour keys
+    returns typed rows of every landed file that can hold the given hours and
+    should read only those files: with epoch-stamped file names that is
+    ``sources.manifest.files_for_hour`` over the landing manifest (exactly the
+    hour's files); with day folders it is the folders of the hours' days.  The hour keys
     of a micro-batch -- one or two per 30-minute run, at most a few hundred in
     a catch-up -- are the only values brought to the driver.
     """
