@@ -40,3 +40,30 @@ def test_hour_rebuild_keeps_earlier_files_and_is_idempotent(spark, tmp_shared):
     # no new files: nothing changes; full replay from a fresh checkpoint: same table
     assert run(f"{root}/ck1") == [(2024010510, 1), (2024010510, 3), (2024010511, 2)]
     assert run(f"{root}/ck2") == [(2024010510, 1), (2024010510, 3), (2024010511, 2)]
+
+
+def test_hourly_counts_change_log_keeps_newest_count(spark, tmp_shared):  # X3
+    from tidemark.streaming.intraday import hourly_counts, hourly_counts_view
+
+    root = tmp_shared.replace("file:", "")
+    landing = f"{root}/landing"
+    fields = FIELDS + [Field("kind", "STRING", "NULLABLE")]
+    typed = lambda df: typed_projection(df, fields)
+
+    def land_kind(name, rows):
+        os.makedirs(f"{landing}/d=2024-01-05", exist_ok=True)
+        with open(f"{landing}/d=2024-01-05/{name}", "w") as fh:
+            for i, ts, kind in rows:
+                fh.write(json.dumps({"_airbyte_ab_id": str(i), "_airbyte_emitted_at": 0,
+                                     "_airbyte_data": {"id": str(i), "ts": ts, "kind": kind}}) + "\n")
+
+    def run():
+        hourly_counts(spark, f"{landing}/*", typed, "ts", "kind", f"{root}/counts", f"{root}/ck")
+        return sorted((r.report_hour, r.table_name, r.n_files) for r in hourly_counts_view(spark, f"{root}/counts").collect())
+
+    land_kind("a.jsonl", [(1, "2024-01-05T10:01:00Z", "t1"), (2, "2024-01-05T10:20:00Z", "t1"),
+                          (3, "2024-01-05T11:00:00Z", "t2")])
+    assert run() == [("2024010510", "t1", 2), ("2024010511", "t2", 1)]
+    # a later batch adds to hour 10 (within the watermark): the view shows the new total
+    land_kind("b.jsonl", [(4, "2024-01-05T10:40:00Z", "t1")])
+    assert run() == [("2024010510", "t1", 3), ("2024010511", "t2", 1)]
