@@ -3,6 +3,8 @@ day folders, processed by ``availableNow`` runs of the intraday jobs."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,9 @@ SELECT strftime(ts, '%Y%m%d%H') AS report_hour, COUNT(*) AS n_rows,
 FROM events GROUP BY 1
 """)
 def intraday_stream_hours(spark, sf_dir):
-    """Two scheduled runs; the second sees late files (all purchases) for hours
-    the first already loaded, and those hours are rebuilt with every row."""
+    """Two scheduled runs; the second sees late files (the purchases of the
+    last two days) for hours the first run already loaded, and those hours are
+    rebuilt with every row.  Together the runs land every event."""
     ev = Tables(spark, sf_dir).events
     root = shared_dir(spark, "intraday")
     landing, table, ckpt = f"{root}/landing", f"{root}/events_hourly", f"{root}/_checkpoint"
@@ -46,9 +49,12 @@ def intraday_stream_hours(spark, sf_dir):
         days = sorted({f"{h[:4]}-{h[4:6]}-{h[6:8]}" for h in hours})
         return typed(read_envelope_jsonl(spark, [f"{landing}/d={d}" for d in days]))
 
-    _land(ev.filter(F.col("event_type") != "purchase"), landing)
+    # one aggregated scalar: the newest event day
+    last_day = ev.agg(F.max(F.to_date("ts"))).first()[0]
+    late = (F.col("event_type") == "purchase") & (F.to_date("ts") >= F.lit(last_day - dt.timedelta(days=1)))
+    _land(ev.filter(~late), landing)
     intraday_ingest(spark, f"{landing}/*", typed, read_hours, hour_of, table, ckpt)
-    _land(ev.filter(F.col("event_type") == "purchase"), landing)
+    _land(ev.filter(late), landing)
     intraday_ingest(spark, f"{landing}/*", typed, read_hours, hour_of, table, ckpt)
     back = spark.read.parquet(table)
     return back.groupBy(F.col("report_hour").cast("string").alias("report_hour")).agg(
