@@ -32,7 +32,3 @@ class Tables:
         if name in TABLES:
             return self.read(name)
         raise AttributeError(name)
-
-    def register_views(self) -> None:
-        for t in TABLES:
-            self.read(t).createOrReplaceTempView(t)

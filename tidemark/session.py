@@ -8,7 +8,6 @@ absent, which is the local/test situation.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,12 +85,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
