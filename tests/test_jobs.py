@@ -35,3 +35,19 @@ def test_mart_backfill_skips_commented_entries(spark, tmp_shared):  # E2, G6
     got = {(r._partition_date, r.v, r.report_date) for r in back.collect()}
     assert got == {(D(2024, 1, 3), 3, D(2024, 1, 3)), (D(2024, 1, 4), 3, D(2024, 1, 3)),
                    (D(2024, 1, 5), 5, D(2024, 1, 5))}
+
+
+def test_delimited_and_control_loads(spark, tmp_shared):  # E3
+    root = tmp_shared.replace("file:", "")
+    os.makedirs(f"{root}/in", exist_ok=True)
+    with open(f"{root}/in/sales_2024-01-05.TXT", "w") as fh:
+        fh.write("StoreID|Amount\n1|NULL\n2|3.5\n")
+    with open(f"{root}/in/sales_2024-01-05.ctrl", "w") as fh:
+        fh.write("IntefaceName|BuCode|FileCount|TotalRec|BatchDate|Requester|DIHBatchID\n"
+                 "sales|BU01|1|2|05012024000000|ETL|B1\n")
+    jobs.delimited_load(spark, f"{root}/in/*.TXT", "StoreID string, Amount double", D(2024, 1, 5),
+                        f"{root}/sales", null_marker="NULL")
+    jobs.control_load(spark, f"{root}/in/*.ctrl", D(2024, 1, 5), f"{root}/ctrl")
+    sales = sorted((r.StoreID, r.Amount, r._partition_date) for r in spark.read.parquet(f"{root}/sales").collect())
+    assert sales == [("1", None, D(2024, 1, 5)), ("2", 3.5, D(2024, 1, 5))]
+    assert spark.read.parquet(f"{root}/ctrl").first().TotalRec == "2"
