@@ -8,9 +8,9 @@ same prefix form a group that is indexed once:
 1. count shingles in a table of fixed size, which gives the order;
 2. per document: size, digest of the set, prefix; equal sets are one class,
    classes of the same size and prefix are one group;
-3. the lists of groups per prefix shingle, in size order, are paired by a
-   sliding window, filtered by size and position, expanded to classes and
-   verified on the full sets;
+3. in the lists of groups per prefix shingle, in size order, a sliding window
+   and the list's most central group make pairs, which are filtered by size and
+   position, expanded to classes and verified on the full sets;
 4. long lists whose members are still in different components are gone through
    again with a wider window, until none is left.
 
@@ -182,10 +182,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
 
     leaders = sig.join(groups.select(F.col("leader").alias("doc_id"), "grp"), ["doc_id", "grp"], "left_semi") \
         .dropDuplicates(["doc_id", "grp"])
-    lists = written(_lists(leaders, num, den), "ngram-lists")
-    group_pairs = written(lists.select(F.explode("near").alias("a"), F.col("doc_id").alias("b"))
-                          .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-                          "ngram-group-pairs")
+    lists = written(_lists(leaders), "ngram-lists")
+    group_pairs = written(_near(lists, num, den), "ngram-group-pairs")
     has_crowds = not members.isEmpty()
 
     def expanded(pairs: DataFrame) -> DataFrame:
@@ -199,8 +197,8 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
 
     cand = expanded(group_pairs)
     if has_crowds:
-        inside = members.withColumn("x", F.explode(F.collect_list("rep").over(
-            Window.partitionBy("leader").orderBy("place").rowsBetween(-WINDOW, -1))))
+        before = Window.partitionBy("leader").orderBy("place").rowsBetween(-WINDOW, -1)
+        inside = members.withColumn("near", F.collect_list("rep").over(before)).select("rep", F.explode("near").alias("x"))
         cand = cand.union(members.where("leader < rep").select(F.col("leader").alias("a"), F.col("rep").alias("b"))) \
             .union(inside.select(F.col("x").alias("a"), F.col("rep").alias("b"))).distinct()
     links = written(_verified(docs, cand, k, num, den), "ngram-links")
@@ -216,7 +214,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     seen = group_pairs
     while lo + 1 < longest:
         long_tokens = lists.where(F.col("place") > lo + 1).select("token").distinct()
-        rest = rooted(lists.join(long_tokens, "token").select("token", "doc_id", "n", "i"), "doc_id", "root")
+        rest = rooted(lists.join(long_tokens, "token"), "doc_id", "root")
         if has_crowds:  # a group whose own members are apart may not be skipped for its leader's component
             apart = rooted(members, "rep", "root").groupBy(F.col("leader").alias("doc_id")) \
                 .agg((F.min("root") < F.max("root")).alias("apart"))
@@ -263,34 +261,50 @@ def _possible(x, num: int, den: int):
     """Size and position filter between the list entry ``x`` and the current row.
 
     Both hold the shared shingle at place ``i`` (from 0) of ``n`` in the global
-    order, so at most the smaller number before it and after it is shared too.
+    order.  What both hold before it lies in both prefixes, so it is among the
+    ``s`` of the ``i`` that are in a list; so at most the smaller ``s`` before
+    it and the smaller rest from it on are shared.
     """
     n, i = F.col("n"), F.col("i")
-    most = F.least(x["i"], i) + F.least(x["n"] - x["i"], n - i)
+    most = F.least(x["s"], F.col("s")) + F.least(x["n"] - x["i"], n - i)
     return ((den * F.least(x["n"], n) >= num * F.greatest(x["n"], n))
             & ((den + num) * most >= num * (x["n"] + n)))
 
 
-def _lists(leaders: DataFrame, num: int, den: int) -> DataFrame:
-    """Lists of two or more groups per prefix shingle: token, doc_id, n, i, place, near.
-
-    ``near``: the possible partners among the ``WINDOW`` rows before and the list's first row.
-    """
-    entry = F.struct("doc_id", "n", "i")
-    rows = (leaders.select("doc_id", "n", F.posexplode("prefix").alias("i", "token"))
+def _lists(leaders: DataFrame) -> DataFrame:
+    """Prefix shingles that two or more groups have: token, doc_id, n, i, s, rare, place in the list."""
+    rows = (leaders.select("doc_id", "n", F.size("prefix").alias("length"), F.posexplode("prefix").alias("i", "token"))
             .withColumn("place", F.row_number().over(_in_list()))
-            .withColumn("more", F.lead("doc_id").over(_in_list()).isNotNull())
-            .withColumn("head", F.first(entry).over(_in_list().rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("near", F.collect_list(entry).over(_in_list().rowsBetween(-WINDOW, -1)))
-            .where("more or place > 1"))
-    near = F.when(F.col("place") > WINDOW + 1, F.concat("near", F.array("head"))).otherwise(F.col("near"))
-    return rows.select("token", "doc_id", "n", "i", "place",
-                       F.transform(F.filter(near, lambda x: _possible(x, num, den)), lambda x: x["doc_id"]).alias("near"))
+            .withColumn("more", F.lead("doc_id").over(_in_list()).isNotNull()).where("more or place > 1").drop("more"))
+    rows = written(rows, "ngram-shared")
+    of_doc = Window.partitionBy("doc_id")
+    return rows.select("token", "doc_id", "n", "i", "place", (F.row_number().over(of_doc.orderBy("i")) - 1).alias("s"),
+                       (F.col("length") - F.count(F.lit(1)).over(of_doc)).alias("rare"))
+
+
+def _near(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Possible pairs (a, b) of list entries that are ``WINDOW`` places apart at most,
+    and of each entry with the list's most central one, which has the fewest shingles of its own."""
+    entry = F.struct("doc_id", "n", "i", "s")
+    centre = F.min(F.struct(F.col("rare"), F.col("n").alias("by"), F.col("doc_id").alias("id"), entry.alias("entry"))) \
+        .over(Window.partitionBy("token"))["entry"]
+    near = F.concat(F.collect_list(entry).over(_in_list().rowsBetween(-WINDOW, -1)), F.array(centre))
+    rows = lists.withColumn("near", near)
+    near = F.filter("near", lambda x: (x["doc_id"] != F.col("doc_id")) & _possible(x, num, den))
+    return _pairs(rows, near)
 
 
 def _between(rest: DataFrame, lo: int, hi: int, num: int, den: int) -> DataFrame:
     """Possible pairs of different components that are lo + 1 to hi places apart in a list."""
-    near = F.collect_list(F.struct("doc_id", "n", "i", "root", "apart")).over(_in_list().rowsBetween(-hi, -lo - 1))
+    entry = F.struct("doc_id", "n", "i", "s", "root", "apart")
+    near = F.collect_list(entry).over(_in_list().rowsBetween(-hi, -lo - 1))
     ok = F.filter("near", lambda x: ((x["root"] != F.col("root")) | x["apart"] | F.col("apart")) & _possible(x, num, den))
-    return (rest.withColumn("near", near).select(F.col("doc_id").alias("b"), F.explode(ok).alias("x"))
-            .select(F.least("x.doc_id", "b").alias("a"), F.greatest("x.doc_id", "b").alias("b")).distinct())
+    return _pairs(rest.withColumn("near", near), ok)
+
+
+def _pairs(rows: DataFrame, partners) -> DataFrame:
+    """Distinct pairs (a, b) of entries and their partners; a document's lists are united before they are spread out."""
+    own = rows.select(F.col("doc_id").alias("b"), F.transform(partners, lambda x: x["doc_id"]).alias("near")) \
+        .where(F.size("near") > 0).groupBy("b").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    pairs = own.select("b", F.explode("near").alias("a"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
