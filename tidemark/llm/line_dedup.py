@@ -43,6 +43,17 @@ def _lines(docs: DataFrame) -> DataFrame:
             .withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit("second"), "line")))
 
 
+def _halves(line: Column, size: Column) -> Column:
+    """The keys of :func:`_pieces` for two pieces, without the empty sides: array of (role, key)."""
+    def keys(role: str, variant: Column, extra: int) -> list[Column]:
+        half = F.floor(variant / 2).cast("int")
+        left, right = F.substr(line, F.lit(1), half), F.substr(line, half + 1 + extra, size)
+        return [F.struct(F.lit(role).alias("role"), F.xxhash64(variant, F.lit(part), side).alias("key"))
+                for part, side in ((0, right), (1, left))]
+
+    return F.array(*keys("d", size - 1, 1), *keys("f", size, 0))
+
+
 def _pieces(line: Column, size: Column, count) -> Column:
     """Keys of a line: array of (role, part, begin, width, key).
 
@@ -75,9 +86,8 @@ def _shared(keys: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, pos, line)`` of the lines to remove; see :func:`dedup_lines`."""
     size = F.length("line").cast("long")
-    two = _pieces(F.col("line"), size, lambda v: F.lit(2).cast("long"))
-    near = F.when(size >= MIN_NEAR_CHARS, F.transform(two, lambda x: F.struct(x["role"].alias("role"), x["key"].alias("key"))))
-    unique = written(_lines(docs).select("doc_id", "pos", "h1", "h2", near.alias("keys"))
+    near = F.when(F.col("size") >= MIN_NEAR_CHARS, _halves(F.col("line"), F.col("size")))
+    unique = written(_lines(docs).withColumn("size", F.length("line")).select("doc_id", "pos", "h1", "h2", near.alias("keys"))
                      .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos", "h1")).alias("id"),
                                               F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")), "lines")
     keys = unique.select("h1", "h2", "id", F.inline("keys"))
