@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from test_ngram_join import brute  # noqa: E402
+from .test_ngram_join import brute
 
 
 def test_stages(spark, tmp_path, words):
