@@ -71,3 +71,8 @@ def test_yymmdd_int_and_truncate_and_month_end(spark):
 
 def test_ddmmyyyy_prefix(spark):  # T7: first eight characters
     assert one(spark, tf.parse_ddmmyyyy_prefix("x"), [("05012024235959",)]) == [dt.date(2024, 1, 5)]
+
+
+def test_text_to_int64_long_fractions(spark):
+    got = one(spark, casts.text_to_int64("x"), [("0.4999999999",), ("-0.50000000001",), ("2.49999999999999999999",), (".5",)])
+    assert got == [0, -1, 2, 1]

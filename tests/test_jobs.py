@@ -28,7 +28,7 @@ def test_daily_landing_load_replaces_the_day(spark, tmp_shared):  # E1
 def test_mart_backfill_skips_commented_entries(spark, tmp_shared):  # E2, G6
     pm = spark.createDataFrame([(1, dt.datetime(2024, 1, d), D(2024, 1, d), d) for d in (1, 3, 5)],
                                "pid int, updateon timestamp_ntz, report_date date, v int")
-    config = [("product_master_snapshot", 3, 1), ("#sku_snapshot", 2, 1)]
+    config = [("product_master_snapshot", 1, 3), ("#sku_snapshot", 2, 1)]
     done = jobs.mart_backfill(config, {"product_master_snapshot": {"productmaster": pm}}, D(2024, 1, 6), tmp_shared)
     assert list(done) == ["product_master_snapshot"]
     back = spark.read.parquet(f"{tmp_shared}/product_master_snapshot")

@@ -69,7 +69,7 @@ def test_manifest_parsing_and_discovery(spark):  # S1, S10, S15
     m = mf.parse_data_manifest(files)
     r = m.orderBy("path").first()
     assert (r.table_name, r.file_date, r.file_epoch_ms, r.seq) == ("erp_x", dt.date(2024, 1, 5), 1704445200000, 1)
-    assert [x.table_name for x in mf.discover_tables(m).collect()] == ["tbA"]
+    assert [x.table_name for x in mf.discover_tables(m, ("erp_",)).collect()] == ["tbA"]
     assert mf.files_for_hour(m, "2024010509").count() == 2
     ctrl = spark.createDataFrame([("gs://b/c/src_tbA_1704412800.ctrl", 5)], "path string, length bigint")
     c = mf.parse_control_manifest(ctrl, "src").first()
@@ -101,10 +101,10 @@ def test_retype_moves_columns_last(spark):  # D8
 
 
 def test_dictionary_coverage_substring(spark):  # D11
-    tables = spark.createDataFrame([("OFM_TBPRODUCT",), ("missing",)], "TABLE_NAME string")
+    tables = spark.createDataFrame([("SRC_TBPRODUCT",), ("missing",)], "TABLE_NAME string")
     folders = spark.createDataFrame([("daily_tbproduct_source",), ("other",)], "folder string")
-    got = {(r.table, r.status) for r in ty.dictionary_coverage(tables, folders).collect()}
-    assert got == {("OFM_TBPRODUCT", "matched"), ("missing", "not found")}
+    got = {(r.table, r.status) for r in ty.dictionary_coverage(tables, folders, "src_").collect()}
+    assert got == {("SRC_TBPRODUCT", "matched"), ("missing", "not found")}
 
 
 def test_replace_partition_idempotent_and_empty(spark, tmp_shared):  # K1, T12

@@ -29,13 +29,15 @@ def text_to_int64(c) -> Column:
     Integer text is parsed exactly (no pass through FLOAT64, so values above
     2**53 keep every digit); text with a fraction goes through DECIMAL and is
     rounded half away from zero.  Anything else raises under ANSI, as a load
-    job would.
+    job would.  Rounding needs the first digit of a fraction only, so a fraction
+    of any length is cut there and not rounded twice.
     """
     s = F.trim(_c(c))
     whole = F.regexp_like(s, F.lit(r"^[+-]?[0-9]+$"))
+    tenths = F.regexp_replace(s, r"^([+-]?[0-9]*\.[0-9])[0-9]*$", "$1")
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("bigint"))
              .when(whole, s.cast("bigint"))
-             .otherwise(F.round(s.cast("decimal(38,9)")).cast("bigint")))
+             .otherwise(F.round(tenths.cast("decimal(38,9)")).cast("bigint")))
 
 
 def text_to_boolean(c) -> Column:

@@ -241,15 +241,9 @@ def substrings(col: Column, alias: str = "fragment") -> Column:
                                   lambda ln: F.substring(col, start, ln))))
 
 
-# Fixed value: the dictionary's table-name prefix that is ignored when
-# matching dictionary tables to landed folders.
-DICTIONARY_TABLE_PREFIX = "ofm_"
-
-
-def dictionary_coverage(dictionary_tables: DataFrame, folders: DataFrame,
-                        strip_prefix: str = DICTIONARY_TABLE_PREFIX) -> DataFrame:
+def dictionary_coverage(dictionary_tables: DataFrame, folders: DataFrame, strip_prefix: str) -> DataFrame:
     """Does some landed folder contain the dictionary table name (leading
-    ``OFM_`` stripped, case-insensitive)?  Returns (table, folder|NULL, status).
+    ``strip_prefix`` left out, case-insensitive)?  Returns (table, folder|NULL, status).
 
     'Contains' is evaluated as an equi-join of the name against every
     substring of each folder name, so no cross product is formed.

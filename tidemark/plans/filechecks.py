@@ -171,15 +171,15 @@ def skip_decision(spark, sf_dir):
 
 @query("discover_tables", ("S15",), oracle="""
 SELECT DISTINCT CASE event_type WHEN 'purchase' THEN 'ERP_purchase'
-                                WHEN 'error' THEN 'mercury_error'
+                                WHEN 'error' THEN 'side_error'
                                 ELSE event_type END AS table_name
 FROM events
 WHERE event_type NOT IN ('purchase', 'error')
 """)
 def discover_tables_query(spark, sf_dir):
     folder = (F.when(F.col("event_type") == "purchase", F.lit("ERP_purchase"))
-               .when(F.col("event_type") == "error", F.lit("mercury_error"))
+               .when(F.col("event_type") == "error", F.lit("side_error"))
                .otherwise(F.col("event_type")))
     m = parse_data_manifest(landed_files(Tables(spark, sf_dir), folder))
-    return discover_tables(m)
+    return discover_tables(m, ("erp_", "side_"))
 

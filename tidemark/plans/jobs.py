@@ -93,11 +93,11 @@ def parse_backfill_config(rows: Sequence[tuple[str, int, int]]) -> list[tuple[st
 def mart_backfill(config: Sequence[tuple[str, int, int]], inputs: Mapping[str, Mapping[str, DataFrame]],
                   run_date: dt.date, output_root: str) -> dict[str, list[dt.date]]:
     """For each active config entry, run the model for cut-offs
-    ``run_date - start`` ... ``run_date - end``, each replacing its own partition
-    of ``<output_root>/<model>``."""
+    ``run_date - start`` ... ``run_date - end`` (offsets in either order), oldest
+    first, each replacing its own partition of ``<output_root>/<model>``."""
     done: dict[str, list[dt.date]] = {}
     for model, start, end in parse_backfill_config(config):
-        cutoffs = [run_date - dt.timedelta(days=o) for o in range(start, end - 1, -1)]
+        cutoffs = [run_date - dt.timedelta(days=o) for o in range(max(start, end), min(start, end) - 1, -1)]
         for c in cutoffs:
             mart_run(model, inputs[model], c, f"{output_root.rstrip('/')}/{model}")
         done[model] = cutoffs

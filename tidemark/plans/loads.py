@@ -325,27 +325,27 @@ def control_read_pos(spark, sf_dir):
 @query("dictionary_coverage", ("D11",), oracle="""
 WITH folders AS (
   SELECT DISTINCT CASE event_type WHEN 'purchase' THEN 'ERP_purchase'
-                                  WHEN 'error' THEN 'mercury_error' ELSE event_type END AS folder
+                                  WHEN 'error' THEN 'side_error' ELSE event_type END AS folder
   FROM events),
-dict AS (SELECT * FROM (VALUES ('OFM_SIGNUP'), ('OFM_purchase'), ('error'), ('refund'), ('OFM_View'))
+dict AS (SELECT * FROM (VALUES ('SRC_SIGNUP'), ('SRC_purchase'), ('error'), ('refund'), ('SRC_View'))
          v(TABLE_NAME))
 SELECT d.TABLE_NAME AS "table", f.folder,
        CASE WHEN f.folder IS NULL THEN 'not found' ELSE 'matched' END AS status
 FROM dict d LEFT JOIN folders f
-  ON contains(lower(f.folder), regexp_replace(lower(d.TABLE_NAME), '^ofm_', ''))
+  ON contains(lower(f.folder), regexp_replace(lower(d.TABLE_NAME), '^src_', ''))
 """)
 def dictionary_coverage_query(spark, sf_dir):
     from tidemark.plans.filechecks import landed_files
     from tidemark.sources.manifest import folder_name
 
     folder = (F.when(F.col("event_type") == "purchase", F.lit("ERP_purchase"))
-               .when(F.col("event_type") == "error", F.lit("mercury_error"))
+               .when(F.col("event_type") == "error", F.lit("side_error"))
                .otherwise(F.col("event_type")))
     folders = (landed_files(Tables(spark, sf_dir), folder)
                .select(folder_name(F.col("path")).alias("folder")).distinct())
     dict_tables = spark.createDataFrame(
-        [("OFM_SIGNUP",), ("OFM_purchase",), ("error",), ("refund",), ("OFM_View",)], "TABLE_NAME string")
-    return dictionary_coverage(dict_tables, folders)
+        [("SRC_SIGNUP",), ("SRC_purchase",), ("error",), ("refund",), ("SRC_View",)], "TABLE_NAME string")
+    return dictionary_coverage(dict_tables, folders, "src_")
 
 
 # ------------------------------------------------------------------ sinks ---
@@ -577,7 +577,7 @@ def infer_schema_report(spark, sf_dir):
         envelope(df, key, {c: c for c in df.columns}).write.text(f"{root}/landing/{name}")
     files = list_files(spark, f"{root}/landing/*/*").select(
         F.regexp_extract("path", r"/landing/([^/]+)/[^/]+$", 1).alias("table_name"), "path", "length")
-    tables = sorted(r.table_name for r in discover_tables(files).collect())
+    tables = sorted(r.table_name for r in discover_tables(files, ()).collect())
     reports = [infer_envelope_fields(spark, f"{root}/landing/{name}")
                .select(F.lit(name).alias("table_name"), "field", "inferred_type") for name in tables]
     return union_all(reports)

@@ -372,10 +372,10 @@ def fact_transport_daily(inputs: Inputs) -> DataFrame:
 def backfill(model: Callable[..., DataFrame], inputs: Inputs, run_date: dt.date, start: int,
              end: int, write: Callable[[DataFrame, dt.date], None], **kwargs) -> list[dt.date]:
     """Run ``model`` for cut-offs ``run_date - start`` ... ``run_date - end``
-    (offsets in days, start >= end), each replacing its own partition via
+    (offsets in days, in either order), oldest first, each replacing its own partition via
     ``write(df, cutoff)``.  For latest-per-key models over many cut-offs,
     ``tidemark.operators.migrate.backfill_latest`` does all cut-offs in one pass."""
-    cutoffs = [run_date - dt.timedelta(days=o) for o in range(start, end - 1, -1)]
+    cutoffs = [run_date - dt.timedelta(days=o) for o in range(max(start, end), min(start, end) - 1, -1)]
     for c in cutoffs:
         write(model(inputs, c, **kwargs), c)
     return cutoffs

@@ -68,12 +68,16 @@ def build_session(master: str | None = None, app: str = "tidemark",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local bench) is a fresh folder under
-    the system temp dir created and registered.
+    Only when a local session has none (tests, local bench) is a fresh folder
+    under the system temp dir created and registered; on a cluster a missing
+    setting is an error, as each machine would write to its own disk.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver "
+                               "and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     # DataFrame.checkpoint() needs the SparkContext setting as well.
     if not sc.getCheckpointDir():

@@ -23,8 +23,6 @@ from tidemark.functions import temporal as tf
 DATA_NAME = r"(\d{4})_(\d{2})_(\d{2})_(\d+)_(\d+)\.jsonl$"
 CONTROL_NAME = r"^(.+)_(\d+)\.ctrl$"
 SUFFIX_DATE_NAME = r"_(\d{4}-\d{2}-\d{2})\.([A-Za-z]+)$"
-# Daily loads skip folders of these sources (they have their own jobs).
-DAILY_EXCLUDED_PREFIXES = ("erp_", "mercury_")
 
 
 def file_name(path: Column) -> Column:
@@ -95,7 +93,7 @@ def parse_control_manifest(files: DataFrame, source: str) -> DataFrame:
     prefix = F.lit(source + "_")
     stem = F.regexp_extract(name, CONTROL_NAME, 1)
     return (files.filter(F.startswith(name, prefix))
-            .select(F.substring(stem, len(source) + 2, 10_000).alias("table_name"), "path", "length",
+            .select(F.substr(stem, F.lit(len(source) + 2)).alias("table_name"), "path", "length",
                     F.regexp_extract(name, CONTROL_NAME, 2).cast("bigint").alias("epoch_s"))
             .withColumn("ctrl_date", F.to_date(tf.epoch_s_to_utc(F.col("epoch_s")))))
 
@@ -106,11 +104,11 @@ def control_files_for_date(ctrl_manifest: DataFrame, run_date: dt.date) -> DataF
     return ctrl_manifest.filter(F.col("ctrl_date") == F.lit(run_date))
 
 
-def discover_tables(manifest: DataFrame,
-                    excluded_prefixes: Sequence[str] = DAILY_EXCLUDED_PREFIXES) -> DataFrame:
-    """Table list from folder names, without blanks and excluded sources
-    (case-insensitive)."""
+def discover_tables(manifest: DataFrame, excluded_prefixes: Sequence[str]) -> DataFrame:
+    """Table list from folder names, without blanks and without the folders
+    of excluded sources (prefixes, case-insensitive), which have jobs of their own."""
     t = F.lower(F.trim(F.col("table_name")))
-    pattern = "^(" + "|".join(excluded_prefixes) + ")"
-    return (manifest.select("table_name").distinct()
-            .filter((t != "") & F.col("table_name").isNotNull() & ~t.rlike(pattern)))
+    keep = (t != "") & F.col("table_name").isNotNull()
+    for prefix in excluded_prefixes:
+        keep &= ~F.startswith(t, F.lit(prefix.lower()))
+    return manifest.select("table_name").distinct().filter(keep)
