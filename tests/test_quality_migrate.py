@@ -29,8 +29,11 @@ def test_env_row_compare_unmatched_dates(spark):  # Q2
 def test_intraday_shortfall_rule(spark):  # Q7, T17
     base = 1704067200000  # 2024-01-01 00:00 UTC
     m = spark.createDataFrame([("a", base + 10), ("b", base + 10)], "table_name string, file_epoch_ms long")
-    out = q.intraday_shortfall(m, {"a": 48, "b": 23})
-    rows = {(r.table_name, r.run_hour): (r.found, r.expected) for r in out.collect()}
+    days = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 2),)], "run_date date")
+    out = q.intraday_shortfall(m, {"a": 48, "b": 23, "never": 48}, days)
+    assert out.filter("table_name = 'never' and found = 0").count() == 48   # no file at all is the worst shortfall
+    assert out.filter("table_name = 'a' and run_date = '2024-01-02'").count() == 24
+    rows = {(r.table_name, r.run_hour): (r.found, r.expected) for r in out.filter("run_date = '2024-01-01'").collect()}
     assert rows[("a", 0)] == (1, 2) and rows[("a", 23)] == (1, 48)
     assert not any(k[0] == "b" for k in rows)   # total < 24 -> expected 0, never alerts
 
@@ -39,7 +42,7 @@ def test_missing_and_skip(spark):  # Q5, Q10
     m = spark.createDataFrame([("a", dt.date(2024, 1, 1), 0, "p1"), ("b", dt.date(2024, 1, 1), 5, "p2")],
                               "table_name string, file_date date, length long, path string")
     exp = q.expected_pairs(spark.createDataFrame([(dt.date(2024, 1, 1),)], "run_date date"), ["a", "b", "c"])
-    assert sorted(r.table_name for r in q.missing_daily_files(q.daily_file_summary(m), exp).collect()) == ["a", "c"]
+    assert sorted(r.table_name for r in q.missing_daily_files(q.daily_file_summary(m), exp).collect()) == ["c"]
     assert [r.table_name for r in q.no_load_decision(m).collect()] == ["a"]
 
 

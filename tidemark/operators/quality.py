@@ -86,9 +86,9 @@ def daily_file_summary(manifest: DataFrame) -> DataFrame:
 
 
 def missing_daily_files(summary: DataFrame, expected: DataFrame) -> DataFrame:
-    """Q5: expected (table, run_date) with no non-empty file of that date.
-    ``summary`` is ``daily_file_summary(manifest)``."""
-    found = summary.filter(F.col("has_data")).select("table_name", F.col("file_date").alias("run_date"))
+    """Q5: expected (table, run_date) with no file of that date; tables with
+    empty files only are Q10's.  ``summary`` is ``daily_file_summary(manifest)``."""
+    found = summary.select("table_name", F.col("file_date").alias("run_date"))
     miss = anti(expected, found, ["table_name", "run_date"])
     return miss.withColumn(
         "expected_pattern",
@@ -121,9 +121,10 @@ def no_load_decision(manifest: DataFrame) -> DataFrame:
             .select("table_name", "file_date", "n_files", F.lit("skip").alias("decision")))
 
 
-def intraday_shortfall(manifest: DataFrame, daily_totals: dict[str, int]) -> DataFrame:
+def intraday_shortfall(manifest: DataFrame, daily_totals: dict[str, int], run_dates: DataFrame) -> DataFrame:
     """Q7: files found between 00:00 and the end of each run hour (UTC) versus
-    ``floor(total / 24) * (hour + 1)``.
+    ``floor(total / 24) * (hour + 1)``, for every configured table on every
+    ``run_date`` of ``run_dates``, with files or without.
 
     Hourly counts are a partial/final aggregate; the running total is a window
     over at most 24 rows per (table, day), so no group can grow with the data.
@@ -134,15 +135,14 @@ def intraday_shortfall(manifest: DataFrame, daily_totals: dict[str, int]) -> Dat
     hourly = count_by(manifest.select("table_name", F.to_date(ts).alias("run_date"),
                                       F.hour(ts).alias("run_hour")),
                       ["table_name", "run_date", "run_hour"], "n")
-    days = hourly.select("table_name", "run_date").distinct()   # reuses the hourly shuffle
-    grid = days.select("table_name", "run_date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("run_hour"))
+    grid = (expected_pairs(run_dates, list(daily_totals))
+            .select("table_name", "run_date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("run_hour")))
     totals = F.create_map(*[x for k, v in daily_totals.items() for x in (F.lit(k), F.lit(v))])
     w = (Window.partitionBy("table_name", "run_date").orderBy("run_hour")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = (grid.join(hourly, ["table_name", "run_date", "run_hour"], "left")
            .withColumn("found", F.sum(F.coalesce("n", F.lit(0))).over(w))
            .withColumn("total", totals[F.col("table_name")])
-           .filter(F.col("total").isNotNull())
            .withColumn("expected", F.floor(F.col("total") / 24).cast("bigint") * (F.col("run_hour") + 1)))
     return (out.filter(F.col("found") < F.col("expected"))
                .select("table_name", "run_date", "run_hour", F.col("found").cast("bigint").alias("found"),

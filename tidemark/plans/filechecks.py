@@ -39,6 +39,12 @@ def landed_files(t: Tables, folder=None):
                      (F.floor("value").cast("bigint") * 100).alias("length"))
 
 
+def run_dates(files):
+    """Every day of the landing zone's time span, also those on which nothing landed."""
+    span = files.agg(F.min("file_date").alias("first"), F.max("file_date").alias("last"))
+    return span.filter("first is not null").select(F.explode(F.sequence("first", "last")).alias("run_date"))
+
+
 def landed_manifest(t: Tables):
     return parse_data_manifest(landed_files(t))
 
@@ -64,7 +70,7 @@ WITH m AS (
          CAST(floor(value) AS BIGINT) * 100 AS length,
          CAST(ts AS DATE) AS file_date, ts
   FROM events),
-dates AS (SELECT DISTINCT file_date AS run_date FROM m),
+dates AS (SELECT CAST(unnest(generate_series(min(file_date), max(file_date), INTERVAL 1 DAY)) AS DATE) AS run_date FROM m),
 expected AS (
   SELECT t.table_name, d.run_date FROM dates d,
     (VALUES ('signup'), ('error'), ('click'), ('view'), ('purchase'), ('refund')) t(table_name))
@@ -75,13 +81,11 @@ expected AS (
 SELECT e.table_name, e.run_date,
        e.table_name || '/' || strftime(e.run_date, '%Y_%m_%d') || '_*.jsonl' AS expected_pattern
 FROM expected e
-WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.length > 0 AND m.table_name = e.table_name
-                                   AND m.file_date = e.run_date)
+WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.table_name = e.table_name AND m.file_date = e.run_date)
 """)
 def missing_files(spark, sf_dir):
     summary = daily_file_summary(landed_manifest(Tables(spark, sf_dir)))
-    dates = summary.select(F.col("file_date").alias("run_date")).distinct()
-    return missing_daily_files(summary, expected_pairs(dates, EXPECTED_TABLES))
+    return missing_daily_files(summary, expected_pairs(run_dates(summary), EXPECTED_TABLES))
 
 
 @query("control_missing", ("Q6", "S10", "J12"), oracle=_MANIFEST_SQL + """
@@ -95,7 +99,7 @@ WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.v >= 5 AND f.table_name = e.tabl
 def control_missing(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ctrl = parse_control_manifest(control_files(t), "src")
-    dates = daily_file_summary(landed_manifest(t)).select(F.col("file_date").alias("run_date")).distinct()
+    dates = run_dates(landed_manifest(t))
     return missing_control_files(ctrl, expected_pairs(dates, EXPECTED_TABLES))
 
 
@@ -121,10 +125,9 @@ def unprocessed_files_query(spark, sf_dir):
 @query("intraday_shortfall", ("Q7", "A7", "S4", "T17"), oracle=_MANIFEST_SQL + """
 , hourly AS (SELECT table_name, CAST(ts AS DATE) AS run_date, CAST(hour(ts) AS INTEGER) AS run_hour,
                     COUNT(*) AS n FROM m GROUP BY ALL),
-days AS (SELECT DISTINCT table_name, CAST(ts AS DATE) AS run_date FROM m),
-grid AS (SELECT table_name, run_date, CAST(h AS INTEGER) AS run_hour FROM days, range(0, 24) r(h)),
 totals AS (SELECT * FROM (VALUES ('signup', 48), ('error', 48), ('click', 96), ('view', 96),
                                  ('purchase', 24), ('refund', 48)) v(table_name, total)),
+grid AS (SELECT table_name, run_date, CAST(h AS INTEGER) AS run_hour FROM totals, dates, range(0, 24) r(h)),
 cum AS (SELECT g.table_name, g.run_date, g.run_hour,
                SUM(COALESCE(h.n, 0)) OVER (PARTITION BY g.table_name, g.run_date ORDER BY g.run_hour
                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS found
@@ -135,7 +138,8 @@ FROM cum c JOIN totals t USING (table_name)
 WHERE c.found < CAST(floor(t.total / 24) AS BIGINT) * (c.run_hour + 1)
 """)
 def intraday_shortfall_query(spark, sf_dir):
-    return intraday_shortfall(landed_manifest(Tables(spark, sf_dir)), DAILY_FILE_TOTALS)
+    m = landed_manifest(Tables(spark, sf_dir))
+    return intraday_shortfall(m, DAILY_FILE_TOTALS, run_dates(m))
 
 
 @query("files_per_run_hour", ("S4", "A7"), oracle=_MANIFEST_SQL + """
