@@ -128,7 +128,7 @@ def _digest(h: np.ndarray) -> bytes:
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of doc ids whose sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))  # thinned() makes its keys distinct
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,6 +204,10 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     links = written(_verified(docs, cand, k, num, den), "ngram-links")
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
+    def joined(new: DataFrame) -> DataFrame:
+        """Roots after new links: the stars found so far stand for all earlier links."""
+        return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(new.select("a", "b")))
+
     def rooted(df: DataFrame, col: str, out: str) -> DataFrame:
         r = roots.select(F.col("node").alias(col), F.col("root").alias("__root"))
         return df.join(r, col, "left").withColumn(out, F.coalesce("__root", col)).drop("__root")
@@ -226,11 +230,11 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         if rest.isEmpty():
             break
         more = written(_between(rest, lo, hi, num, den), "ngram-more")
-        seen = seen.union(more)
-        new = written(_verified(docs, expanded(more), k, num, den), "ngram-links")
-        if not new.isEmpty():
-            links = links.union(new)
-            roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if not more.isEmpty():
+            seen = seen.union(more)
+            new = written(_verified(docs, expanded(more), k, num, den), "ngram-links")
+            if not new.isEmpty():
+                roots = joined(new)
         lo, hi = hi, hi * GROWTH
 
     if has_crowds:
@@ -244,8 +248,9 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         rest = written(rest, "ngram-member-pairs")
         if not rest.isEmpty():
-            links = links.union(written(_verified(docs, rest, k, num, den), "ngram-links"))
-            roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            new = written(_verified(docs, rest, k, num, den), "ngram-links")
+            if not new.isEmpty():
+                roots = joined(new)
 
     ids = rooted(classes, "rep", "root").select("grp", "n", "digest", "root")
     return (sig.join(ids, ["grp", "n", "digest"], "left")
