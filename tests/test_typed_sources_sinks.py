@@ -156,3 +156,37 @@ def test_audit_columns_hour_grain_and_hour_partition(spark, tmp_shared):  # D5,
     target = replace_partition(out, tmp_shared, "report_hour", dt.datetime(2024, 1, 5, 10))
     assert target.endswith("report_hour=2024010510")
     assert spark.read.parquet(tmp_shared).first().report_hour == 2024010510
+
+
+def test_relayout_adds_days_and_repeats_change_nothing(spark, tmp_shared):  # K8
+    from tidemark.sinks.partitions import relayout_year_month
+
+    def days(*ds):
+        return spark.createDataFrame([(d, dt.date(2024, 1, d)) for d in ds], "v int, d date")
+
+    path = f"{tmp_shared}/ym"
+    for run in (days(1, 2), days(3), days(3)):
+        relayout_year_month(run, "d", path)
+    back = spark.read.parquet(path)
+    assert sorted(r.v for r in back.collect()) == [1, 2, 3]
+    assert {(r.year, r.yyyymm) for r in back.collect()} == {(2024, 202401)}
+
+
+def test_reload_empties_a_day_without_rows(spark, tmp_shared):  # X2, T12
+    from tidemark.sinks.partitions import reload_window_days
+
+    path, run = f"{tmp_shared}/reload", dt.date(2024, 1, 3)
+    old = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2)), (3, run)], "v int, d date")
+    reload_window_days(old, "d", run, (0, 1, 2), path)
+    reload_window_days(old.filter("v <> 2").withColumn("v", old.v * 10), "d", run, (0, 1), path)
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 30]
+
+
+def test_one_yes_per_key_with_ties(spark):  # R7
+    from tidemark.operators.latest import flag_latest
+
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("b", 2, None), ("b", 2, "z"), (None, 1, "x")],
+                               "k string, o int, v string")
+    out = flag_latest(df, ["k"], ["o"], "f").collect()
+    assert sorted((r.k or "", r.v) for r in out if r.f == "Yes") == [("", "x"), ("a", "y"), ("b", "z")]
+    assert len(out) == 5

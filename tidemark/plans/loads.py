@@ -25,7 +25,8 @@ from tidemark.operators.typed import (add_audit_columns, dictionary_coverage, en
 from tidemark.plans.registry import query
 from tidemark.session import shared_dir
 from tidemark.sinks.partitions import (append, export_csv, relayout_year_month,
-                                       replace_partition, replace_partitions, replace_table)
+                                       reload_window_days, replace_partition, replace_partitions,
+                                       replace_table)
 from tidemark.sources.files import (JDA_CONTROL_SCHEMA, POS_CONTROL_SCHEMA, infer_envelope_fields,
                                     read_control_jda, read_control_pos, read_delimited,
                                     read_envelope_jsonl)
@@ -376,7 +377,9 @@ FROM lineitem GROUP BY 1, 2
 def relayout_year_month_query(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     root = shared_dir(spark, "relayout")
-    relayout_year_month(li, "l_shipdate", f"{root}/lineitem_ym")
+    # two runs that share days and split months: the second adds to the first and replaces what it repeats
+    relayout_year_month(li.filter(F.dayofmonth("l_shipdate") <= 20), "l_shipdate", f"{root}/lineitem_ym")
+    relayout_year_month(li.filter(F.dayofmonth("l_shipdate") >= 15), "l_shipdate", f"{root}/lineitem_ym")
     back = spark.read.parquet(f"{root}/lineitem_ym")
     return back.groupBy(F.col("year").cast("bigint").alias("year"),
                         F.col("yyyymm").cast("string").alias("yyyymm")).agg(
@@ -543,12 +546,16 @@ GROUP BY 1
 """)
 def reload_window(spark, sf_dir, run_date: dt.date = dt.date(2024, 1, 20), offsets=(0, 1)):
     """Late files: each run reloads the dates ``run_date - offset`` for the
-    configured offsets, in one job (each date's partition replaced)."""
+    configured offsets.  Here the table already holds the window's dates with
+    other rows, and one date that has nothing any more."""
     ev = Tables(spark, sf_dir).events
-    dates = [run_date - dt.timedelta(days=o) for o in offsets]
-    window = ev.filter(F.to_date("ts").isin(*dates)).withColumn("report_date", F.to_date("ts"))
     root = shared_dir(spark, "reload")
-    replace_partitions(window, f"{root}/events", ["report_date"])
+    gone = run_date + dt.timedelta(days=3650)
+    old = ev.filter(F.to_date("ts") == F.lit(run_date))
+    for day in (run_date, gone):
+        replace_partition(old, f"{root}/events", "report_date", day)
+    reload_window_days(ev, "ts", run_date, offsets, f"{root}/events")
+    reload_window_days(ev, "ts", gone, (0,), f"{root}/events")
     back = spark.read.parquet(f"{root}/events")
     return back.groupBy("report_date").agg(F.count(F.lit(1)).alias("n_rows"),
                                            F.round(F.sum("value"), 2).alias("total_value"))

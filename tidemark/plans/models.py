@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import temporal as tf
 from tidemark.functions.casts import float_to_int64
 from tidemark.operators.aggregates import count_by, group_distinct, group_max
-from tidemark.operators.joins import left_join_many, maybe_broadcast, prefixed
+from tidemark.operators.joins import maybe_broadcast, prefixed
 from tidemark.operators.latest import flag_latest, latest_per_key
 from tidemark.operators.quality import control_vs_data
 from tidemark.operators.unions import aligned, union_all
@@ -237,31 +237,38 @@ DIM_KEYS_V2 = tuple(k for k in DIM_KEYS_V1 if k not in ("create_info_timestamp",
                                                         "update_info_timestamp"))
 
 
-def _dim_join(inputs: Inputs, sku_ids: Sequence[str] | None) -> DataFrame:
-    s = inputs["skucodes"]
-    if sku_ids is not None:
-        s = s.filter(F.col("sku_id").isin(*sku_ids))
-    s = s.filter(F.col("sku_id").isNotNull())
-    c = inputs["channels"].select("sku_id", "channel_id", "channel_display_name_th",
-                                  "channel_display_name_en")
-    i = inputs["images"].select("sku_id", "size", "url", "cdn_url")
-    p = inputs["price"].select("sku_id", "price_type", "price_exclude_vat", "price_include_vat")
-    # Each side may hold many (and skewed) rows per sku -> skew-safe left joins.
-    return left_join_many(left_join_many(left_join_many(s, c, ["sku_id"]), i, ["sku_id"]),
-                          p, ["sku_id"])
+def _dim_sides(inputs: Inputs, skus: DataFrame) -> DataFrame:
+    """``skus`` left joined with channels, images and prices on sku_id.
+
+    Each side is made distinct first (a partial aggregate, so repeated rows of
+    a hot sku are united in the map tasks); the outputs below are distinct
+    anyway, and distinct sides joined to distinct skus stay distinct.
+    """
+    sides = {"channels": ("channel_id", "channel_display_name_th", "channel_display_name_en"),
+             "images": ("size", "url", "cdn_url"),
+             "price": ("price_type", "price_exclude_vat", "price_include_vat")}
+    for name, cols in sides.items():
+        skus = skus.join(inputs[name].select("sku_id", *cols).distinct(), "sku_id", "left")
+    return skus
 
 
 def dim_product_attribute(inputs: Inputs, sku_ids: Sequence[str] | None = None) -> DataFrame:
     """Three parallel left joins on sku_id, GROUP BY 14 columns,
     MAX(report_date), MAX(run_date).  The original restricts to a list of
-    sku ids (pass ``sku_ids``)."""
-    x = _dim_join(inputs, sku_ids)
-    return group_max(x, list(DIM_KEYS_V1), {"report_date": "report_date", "run_date": "run_date"})
+    sku ids (pass ``sku_ids``).  The maxima come from the sku rows alone, so
+    they are taken before the joins."""
+    s = inputs["skucodes"].filter(F.col("sku_id").isNotNull())
+    if sku_ids is not None:
+        s = s.filter(F.col("sku_id").isin(*sku_ids))
+    s = group_max(s, DIM_KEYS_V1[:5], {"report_date": "report_date", "run_date": "run_date"})
+    return _dim_sides(inputs, s).select(*DIM_KEYS_V1, "report_date", "run_date")
 
 
 def dim_product_attribute_v2(inputs: Inputs) -> DataFrame:
     """Same joins, GROUP BY 12 columns and no aggregate (distinct)."""
-    return group_distinct(_dim_join(inputs, None), list(DIM_KEYS_V2))
+    s = inputs["skucodes"].filter(F.col("sku_id").isNotNull())
+    s = group_distinct(s, DIM_KEYS_V2[:3])
+    return _dim_sides(inputs, s).select(*DIM_KEYS_V2)
 
 
 # ---------------------------------------------------------------- M18 ------

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,20 @@ def replace_partitions(df: DataFrame, table_path: str, part_cols: Sequence[str])
        .partitionBy(*part_cols).parquet(table_path))
 
 
+def reload_window_days(df: DataFrame, date_col: str, run_date: dt.date, offsets: Sequence[int],
+                       table_path: str, part_col: str = "report_date") -> list[dt.date]:
+    """Reload the days ``run_date - offset`` from ``df``, each replacing its partition.
+
+    A day of the window without rows is emptied (T12), which a dynamic
+    overwrite would not do.  The offsets are a short configured list; each
+    day's filter reaches the scan.
+    """
+    days = sorted({run_date - dt.timedelta(days=o) for o in offsets})
+    for day in days:
+        replace_partition(df.filter(F.to_date(date_col) == F.lit(day)), table_path, part_col, day)
+    return days
+
+
 def append(df: DataFrame, table_path: str, part_cols: Sequence[str] = ()) -> None:
     """K4: repeated loads append."""
     w = df.write.mode("append")
@@ -70,12 +85,27 @@ def relayout_year_month(df: DataFrame, date_col: str, table_path: str,
     """K8 (re-aimed from moving files into ``YYYY/YYYYMM/``): rewrite rows into
     a table partitioned by (year, yyyymm), compacting small daily files.
 
+    Runs bring a window of days.  The months of ``df`` are rewritten from its
+    rows and the rows they already hold for other days, so a later run adds
+    its days to a month and a repeated run changes nothing.  Files that are
+    read are replaced only when the job commits (dynamic overwrite).
     ``rebalance`` on the partition keys gives few, large files per month; AQE
     splits a month that is much larger than the rest, and the per-file record
-    cap bounds file size.
+    bound only splits files.
     """
     out = (df.withColumn("year", F.year(date_col))
              .withColumn("yyyymm", F.date_format(date_col, "yyyyMM")))
+    try:
+        held = df.sparkSession.read.schema(out.schema).parquet(table_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:  # only dates and months reach these joins: one row each
+        months = out.select(F.col("yyyymm").alias("_month")).distinct()
+        days = out.select(F.to_date(date_col).alias("_day")).distinct()
+        rest = (held.join(months, F.col("yyyymm").eqNullSafe(F.col("_month")), "left_semi")
+                    .join(days, F.to_date(date_col).eqNullSafe(F.col("_day")), "left_anti"))
+        out = out.unionByName(rest.select(*out.columns))
     (out.hint("rebalance", "year", "yyyymm")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
