@@ -75,7 +75,7 @@ def shingle_levels(docs: DataFrame, k: int) -> np.ndarray:
     chunks = docs.select("text").mapInArrow(count, "chunk int, counts binary") \
         .repartition("chunk").mapInArrow(add, "chunk int, levels binary")
     levels = np.zeros((1 << COUNT_BITS) // CHUNK * CHUNK, dtype=np.uint8).reshape(-1, CHUNK)
-    for row in chunks.toLocalIterator():
+    for row in chunks.collect():  # 2**COUNT_BITS bytes in one job; an iterator would run a job per partition
         levels[row["chunk"]] = np.frombuffer(row["levels"], dtype=np.uint8)
     return levels.ravel()
 
