@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import thinned, written
+from tidemark.llm.scratch import coarse_key, thinned, written
 from tidemark.llm.words import NON_SPACE, mix, shingles, split_words, text_slices
 
 #: Buckets of the shingle count table (its order reaches each task as one byte a bucket).
@@ -180,9 +180,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         F.row_number().over(Window.partitionBy("leader").orderBy("rep")).alias("place"))
     members = written(members, "ngram-members")
 
-    leaders = sig.join(groups.select(F.col("leader").alias("doc_id"), "grp"), ["doc_id", "grp"], "left_semi") \
-        .dropDuplicates(["doc_id", "grp"])
-    lists = written(_lists(leaders), "ngram-lists")
+    lists = written(_lists(_leaders(sig, groups)), "ngram-lists")
     group_pairs = written(_near(lists, num, den), "ngram-group-pairs")
     has_crowds = not members.isEmpty()
 
@@ -215,10 +213,9 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     # long lists that still hold several components, with ever wider windows
     lo, hi = WINDOW, WINDOW * GROWTH
     longest = lists.agg(F.max("place")).first()[0] or 0
-    seen = group_pairs
+    seen, still = group_pairs, lists  # a list of one component stays one, so each round takes what the last left open
     while lo + 1 < longest:
-        long_tokens = lists.where(F.col("place") > lo + 1).select("token").distinct()
-        rest = rooted(lists.join(long_tokens, "token"), "doc_id", "root")
+        rest = rooted(still.where(F.col("listed") > lo + 1), "doc_id", "root")
         if has_crowds:  # a group whose own members are apart may not be skipped for its leader's component
             apart = rooted(members, "rep", "root").groupBy(F.col("leader").alias("doc_id")) \
                 .agg((F.min("root") < F.max("root")).alias("apart"))
@@ -229,6 +226,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         rest = written(rest.join(split.where("r0 < r1 or ap").select("token"), "token", "left_semi"), "ngram-open")
         if rest.isEmpty():
             break
+        still = rest.select(*lists.columns)
         more = written(_between(rest, lo, hi, num, den), "ngram-more")
         if not more.isEmpty():
             seen = seen.union(more)
@@ -258,6 +256,26 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")))
 
 
+def _leaders(sig: DataFrame, groups: DataFrame) -> DataFrame:
+    """One signature row for the leader of each group.
+
+    A document with one row that leads its group passes as it is.  Only rows
+    that share a coarse key with another document go through the exact join,
+    so the prefixes of most rows are not shuffled here.
+    """
+    sig = sig.where("n > 0 and doc_id is not null")
+    heads = groups.select(F.col("leader").alias("doc_id"), "grp")
+    once = sig.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"), F.min("grp").alias("grp"))
+    others = once.join(heads.withColumn("leads", F.lit(True)), ["doc_id", "grp"], "left") \
+        .where("times > 1 or leads is null").select("doc_id")
+    keys = others.select(coarse_key(F.col("doc_id")).alias("__coarse")).distinct()
+    plain = sig.withColumn("__coarse", coarse_key(F.col("doc_id"))) \
+        .join(F.broadcast(keys), "__coarse", "left_anti").drop("__coarse")
+    rest = thinned(sig, "doc_id", others, "doc_id").join(heads, ["doc_id", "grp"], "left_semi") \
+        .dropDuplicates(["doc_id", "grp"])
+    return plain.unionByName(rest.select(*plain.columns))
+
+
 def _in_list():
     return Window.partitionBy("token").orderBy("n", "doc_id")
 
@@ -277,13 +295,13 @@ def _possible(x, num: int, den: int):
 
 
 def _lists(leaders: DataFrame) -> DataFrame:
-    """Prefix shingles that two or more groups have: token, doc_id, n, i, s, rare, place in the list."""
+    """Prefix shingles that two or more groups have: token, doc_id, n, i, s, rare, place in the list, length of the list."""
     rows = (leaders.select("doc_id", "n", F.size("prefix").alias("length"), F.posexplode("prefix").alias("i", "token"))
             .withColumn("place", F.row_number().over(_in_list()))
-            .withColumn("more", F.lead("doc_id").over(_in_list()).isNotNull()).where("more or place > 1").drop("more"))
+            .withColumn("listed", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("listed > 1"))
     rows = written(rows, "ngram-shared")
     of_doc = Window.partitionBy("doc_id")
-    return rows.select("token", "doc_id", "n", "i", "place", (F.row_number().over(of_doc.orderBy("i")) - 1).alias("s"),
+    return rows.select("token", "doc_id", "n", "i", "place", "listed", (F.row_number().over(of_doc.orderBy("i")) - 1).alias("s"),
                        (F.col("length") - F.count(F.lit(1)).over(of_doc)).alias("rare"))
 
 
