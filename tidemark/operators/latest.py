@@ -43,10 +43,10 @@ def latest_after_distinct(df: DataFrame, keys: Sequence[ColumnLike],
                           order: Sequence[Column]) -> DataFrame:
     """R8 (with A4): ``SELECT DISTINCT *`` then rank.
 
-    The distinct is a hash aggregate with map-side combine; Catalyst keeps its
-    partitioning only when keys match, so two exchanges remain at worst.
+    Rank 1 keeps one of several equal rows anyway, so the DISTINCT is not run:
+    one exchange, and the partial group limit acts before it.
     """
-    return latest_per_key(df.distinct(), keys, order)
+    return latest_per_key(df, keys, order)
 
 
 def latest_with_eod(df: DataFrame, keys: Sequence[ColumnLike], part_col: str,

@@ -16,14 +16,13 @@ from tidemark.plans.registry import query
 RUN_DATE = dt.date(1998, 6, 30)
 
 
-def latest_product_info(t: Tables, cutoff: dt.date, pids=None):
+def latest_product_info(t: Tables, cutoff: dt.date):
     """U1 + R1: product history UNION ALL current master, newest TRANS_DATE per PID.
 
     History is the one-time load (``part``, casts on that side); the current
     master is the stream of shipments carrying the part's latest supplier.
-    When ``pids`` is given the union is first semi-joined to it: the rank is
-    partitioned by PID, so dropping other PIDs before ranking cannot change
-    any kept winner, and the window then sorts only the products in use.
+    The rank comes before any join, so each map task sends at most one row per
+    PID.
     """
     history = aligned(t.part, {
         "PID": "p_partkey", "BRAND_ID": "p_brand", "CLASS": "p_type",
@@ -37,8 +36,6 @@ def latest_product_info(t: Tables, cutoff: dt.date, pids=None):
             "SUPPLIER_ID": "l_suppkey",
             "TRANS_DATE": F.to_date("l_shipdate")})
     base = union_all([history.filter(F.col("TRANS_DATE") <= F.lit(cutoff)), current])
-    if pids is not None:
-        base = semi(base, maybe_broadcast(pids), "PID")
     return latest_per_key(base, ["PID"], [F.col(c).desc_nulls_last() for c in
                                           ("TRANS_DATE", "SUPPLIER_ID", "BRAND_ID", "CLASS",
                                            "SIZE_CODE")])
@@ -72,9 +69,8 @@ def enrich_detail_latest_dim(spark, sf_dir, run_date: dt.date = RUN_DATE):
     detail = (t.lineitem.filter(F.to_date("l_shipdate") == F.lit(run_date))
               .select(F.col("l_orderkey").alias("RDNo"), F.col("l_linenumber").alias("Seqno"),
                       F.col("l_partkey").alias("pid"), F.to_date("l_shipdate").alias("createon")))
-    pids = detail.select(F.col("pid").alias("PID")).distinct()
     # Spark names are case-insensitive, so the dimension key is renamed.
-    dim = latest_product_info(t, run_date, pids).select(
+    dim = latest_product_info(t, run_date).select(
         F.col("PID").alias("dim_pid"), "BRAND_ID", "CLASS", "SIZE_CODE", "SUPPLIER_ID")
     return (detail.join(dim, detail["pid"] == dim["dim_pid"], "left")
             .select("RDNo", "Seqno", "pid", "createon", "BRAND_ID", "CLASS", "SIZE_CODE",

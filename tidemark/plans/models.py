@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import temporal as tf
 from tidemark.functions.casts import float_to_int64
 from tidemark.operators.aggregates import count_by, group_distinct, group_max
-from tidemark.operators.joins import maybe_broadcast, prefixed
+from tidemark.operators.joins import prefixed
 from tidemark.operators.latest import flag_latest, latest_per_key
 from tidemark.operators.quality import control_vs_data
 from tidemark.operators.unions import aligned, union_all
@@ -135,11 +135,12 @@ PW_OUTPUT = ("amt", "pid", "onpw", "onrd", "onrt", "unit", "whid", "onpic", "onp
 
 def product_warehouse_snapshot(inputs: Inputs, cutoff: dt.date,
                                first_run: dt.date = dt.date(2022, 3, 10)) -> DataFrame:
-    """DISTINCT rows of a run-date window, latest per (PID, StoreID, WHID)
-    by updateon, counts cast to INT64, datetimes truncated to seconds."""
+    """Rows of a run-date window, latest per (PID, StoreID, WHID) by
+    updateon, counts cast to INT64, datetimes truncated to seconds.  The order
+    covers all columns, so rank 1 is the same row with or without the model's
+    DISTINCT, which is left out: one shuffle, behind the partial group limit."""
     df = (inputs["productwarehouse"]
-          .filter((F.col("run_date") >= F.lit(first_run)) & (F.col("report_date") <= F.lit(cutoff)))
-          .distinct())
+          .filter((F.col("run_date") >= F.lit(first_run)) & (F.col("report_date") <= F.lit(cutoff))))
     order = _desc("updateon") + _tiebreak(df, ["pid", "storeid", "whid", "updateon"])
     ranked = latest_per_key(df, ["pid", "storeid", "whid"], order)
     cols = []
@@ -159,11 +160,10 @@ PRODUCT_ATTRS = ("PIDOD", "DEPT_ID", "SUBDEPT_ID", "CLASS", "SUB_CLASS", "CATEGO
                  "SUB_CATEGORY_ID", "BRAND_ID", "SUPPLIER_ID")
 
 
-def latest_product_info(inputs: Inputs, cutoff: dt.date, master_date_col: str = "updateon",
-                        pids: DataFrame | None = None) -> DataFrame:
+def latest_product_info(inputs: Inputs, cutoff: dt.date, master_date_col: str = "updateon") -> DataFrame:
     """U1 + R1: product history UNION ALL the current master, newest TRANS_DATE
-    per PID.  ``pids`` (a one-column frame ``PID``) restricts the rank to the
-    products a detail table needs; the rank is per PID, so winners are the same."""
+    per PID.  The rank comes before any join, so each map task sends at most
+    one row per PID."""
     hist = inputs["product_history"].filter(F.col("TRANS_DATE") <= F.lit(cutoff))
     history = aligned(hist, {
         "PID": "PID", "PIDOD": F.col("PIdOD").cast("string"),
@@ -179,8 +179,6 @@ def latest_product_info(inputs: Inputs, cutoff: dt.date, master_date_col: str =
         "SUB_CATEGORY_ID": "subcatid", "BRAND_ID": "brandid", "SUPPLIER_ID": "lastsupplierid",
         "TRANS_DATE": F.to_date(master_date_col)})
     base = union_all([history, current.select(*history.columns)])
-    if pids is not None:
-        base = base.join(maybe_broadcast(pids), "PID", "left_semi")
     order = [F.col("TRANS_DATE").desc()] + [F.col(c).desc() for c in PRODUCT_ATTRS]
     return latest_per_key(base, ["PID"], order)
 
@@ -200,8 +198,7 @@ def product_detail(inputs: Inputs, cutoff: dt.date, detail_cols: Sequence[str],
     detail = (det.filter(F.to_date(detail_date_col) == F.lit(cutoff))
               .select(*[F.col(c) for c in detail_cols if c != detail_date_col],
                       F.to_date(detail_date_col).alias(detail_date_col)))
-    pids = detail.select(F.col("pid").alias("PID")).distinct()
-    return _enrich(detail, latest_product_info(inputs, cutoff, master_date_col, pids))
+    return _enrich(detail, latest_product_info(inputs, cutoff, master_date_col))
 
 
 def month_end_of_ym(c: str) -> Column:
@@ -224,8 +221,7 @@ def productwarehouse_product_detail(inputs: Inputs, cutoff: dt.date) -> DataFram
         F.col("pid").alias("PID"), F.col("storeid").alias("StoreID"), F.col("whid").alias("WHID"),
         "file_date")
     detail = union_all([snap, month_end]).withColumnRenamed("PID", "pid")
-    pids = detail.select(F.col("pid").alias("PID")).distinct()
-    return _enrich(detail, latest_product_info(inputs, cutoff, "updateon", pids))
+    return _enrich(detail, latest_product_info(inputs, cutoff, "updateon"))
 
 
 # --------------------------------------------------------- M16-M17 ---------

@@ -25,7 +25,7 @@ def write_named_files(df: DataFrame, out_dir: str, name_col: str, cols: Sequence
     (df.select(*[F.col(c).cast("string") for c in cols], name_col)
        .repartition(name_col)
        .write.mode("overwrite").option("sep", sep).option("header", header)
-       .option("compression", "none").partitionBy(name_col).csv(staging))
+       .option("compression", "none").option("maxRecordsPerFile", 0).partitionBy(name_col).csv(staging))
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     root = Path(staging)
@@ -37,11 +37,11 @@ def write_named_files(df: DataFrame, out_dir: str, name_col: str, cols: Sequence
             continue
         name = unquote(d.getName()[len(name_col) + 1:])
         parts = [s.getPath() for s in fs.listStatus(d) if s.getPath().getName().startswith("part-")]
-        for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
-            target_name = name if i == 0 else f"{name}.{i}"
-            target = Path(f"{out_dir.rstrip('/')}/{target_name}")
-            fs.mkdirs(target.getParent())
-            fs.rename(part, target)
-            written.append(target.toString())
+        if len(parts) != 1:  # a second part would have a name that no reader's pattern matches
+            raise RuntimeError(f"{name}: {len(parts)} parts, one file expected")
+        target = Path(f"{out_dir.rstrip('/')}/{name}")
+        fs.mkdirs(target.getParent())
+        fs.rename(parts[0], target)
+        written.append(target.toString())
     fs.delete(root, True)
     return written
