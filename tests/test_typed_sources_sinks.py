@@ -190,3 +190,33 @@ def test_one_yes_per_key_with_ties(spark):  # R7
     out = flag_latest(df, ["k"], ["o"], "f").collect()
     assert sorted((r.k or "", r.v) for r in out if r.f == "Yes") == [("", "x"), ("a", "y"), ("b", "z")]
     assert len(out) == 5
+
+
+def test_inventory_keeps_empty_files_that_a_scan_leaves_out(spark, tmp_path):  # S1, S2, Q8
+    from tidemark.operators.quality import empty_files
+
+    folder = tmp_path / "sales"
+    folder.mkdir()
+    (folder / "2024_01_05_1704412800000_0.jsonl").write_text("")
+    (folder / "2024_01_05_1704412800000_1.jsonl").write_text("abc")
+    listing = spark.createDataFrame([(f"file:{f}", f.stat().st_size) for f in sorted(folder.iterdir())],
+                                    "object string, bytes long")
+    manifest = mf.parse_data_manifest(mf.files_from_inventory(listing, "object", "bytes"))
+    assert [(r.table_name, r.seq) for r in empty_files(manifest).collect()] == [("sales", 0)]
+    assert [r.seq for r in mf.nonempty_files(manifest).collect()] == [1]
+    assert mf.list_files(spark, f"{folder}/*").count() == 1
+
+
+def test_named_files_have_one_part_whatever_the_record_limit(spark, tmp_shared):
+    from tidemark.sinks.files import write_named_files
+
+    rows = spark.range(25).withColumn("name", F.lit("feed_2024-01-05.TXT"))
+    key = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10")
+    try:
+        written = write_named_files(rows, f"{tmp_shared}/named", "name", ["id"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(written) == 1
+    assert src.read_delimited(spark, f"{tmp_shared}/named/*.TXT", "id string").count() == 25
