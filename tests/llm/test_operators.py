@@ -271,6 +271,31 @@ def test_neighbours_recall(spark, monkeypatch):
     assert same / 300 >= 0.9 and ties == 9
 
 
+@pytest.mark.parametrize("n", [1023, 1024, 2000, 5000])
+def test_neighbours_recall_without_clusters(spark, n):
+    x = np.random.default_rng(n).standard_normal((n, 64))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for row in ann.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0")).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    asked = range(0, n, 100)
+    same = sum(len(got[q] & {v for v, _ in exact(x, np.arange(n), x[q], q, 10)}) for q in asked)
+    assert same / (10 * len(asked)) >= 0.95
+
+
+def test_neighbours_recall_of_the_embeddings(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = vectors.select("vec_id", "embedding").collect()
+    x, ids = np.array([r.embedding for r in rows], dtype=float), np.array([r.vec_id for r in rows])
+    at = {int(i): p for p, i in enumerate(ids)}
+    got = {}
+    for row in ann.nearest_neighbours(vectors, vectors).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    asked = sorted(got)[::7]
+    same = sum(len(got[q] & {v for v, _ in exact(x, ids, x[at[q]], q, 10)}) for q in asked)
+    assert len(got) == len(ids) and same / (10 * len(asked)) >= 0.95
+
+
 def test_neighbours_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [1.0]),
             (7, [1.0, 0.0]), (8, [1.0, 0.0]), (8, [1.0, 0.0]), (None, [1.0, 1.0]), (100, [float("inf"), 0.0])]
