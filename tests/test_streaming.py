@@ -67,3 +67,30 @@ def test_hourly_counts_change_log_keeps_newest_count(spark, tmp_shared):  # X3
     # a later batch adds to hour 10 (within the watermark): the view shows the new total
     land_kind("b.jsonl", [(4, "2024-01-05T10:40:00Z", "t1")])
     assert run() == [("2024010510", "t1", 3), ("2024010511", "t2", 1)]
+
+
+def test_hourly_counts_do_not_depend_on_the_files_per_batch(spark, tmp_shared):  # X3
+    from tidemark.streaming.intraday import hourly_counts, hourly_counts_view
+
+    root = tmp_shared.replace("file:", "")
+    landing = f"{root}/landing"
+    fields = FIELDS + [Field("kind", "STRING", "NULLABLE")]
+    typed = lambda df: typed_projection(df, fields)
+    # three files, the newest event time first in order of arrival
+    for n, (day, hour) in enumerate([("06", 15), ("05", 10), ("06", 1)]):
+        folder = f"{landing}/d=2024-01-{day}"
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/{n}.jsonl", "w") as fh:
+            fh.write("".join(json.dumps({"_airbyte_ab_id": f"{n}", "_airbyte_emitted_at": 0, "_airbyte_data": {
+                "id": f"{n}", "ts": f"2024-01-{day}T{hour:02}:0{m}:00Z", "kind": "t"}}) + "\n" for m in range(n + 1)))
+        os.utime(f"{folder}/{n}.jsonl", (1_700_000_000 + 60 * n,) * 2)
+
+    def run(cap, table, checkpoint):
+        hourly_counts(spark, f"{landing}/*", typed, "ts", "kind", f"{root}/{table}", f"{root}/{checkpoint}", max_files_per_trigger=cap)
+        return sorted((r.report_hour, r.table_name, r.n_files) for r in hourly_counts_view(spark, f"{root}/{table}").collect())
+
+    want = [("2024010510", "t", 2), ("2024010601", "t", 3), ("2024010615", "t", 1)]
+    assert run(1, "one", "ck1") == want and len(os.listdir(f"{root}/ck1/commits")) >= 3
+    assert run(1000, "many", "ck2") == want
+    # a replay from a fresh checkpoint over the same table changes nothing
+    assert run(2, "one", "ck3") == want

@@ -17,6 +17,10 @@ from tidemark.sources.files import read_envelope_jsonl
 from tidemark.streaming.intraday import HOUR_FMT, hourly_counts, hourly_counts_view, intraday_ingest
 
 
+#: Landed files that a micro-batch of X3 takes.
+FILES_PER_BATCH = 10
+
+
 def _land(events: DataFrame, landing: str) -> None:
     """Append event rows as envelope files into ``landing/d=<date>/``."""
     payload = {"event_id": F.col("event_id").cast("string"), "ts": iso_text("ts", 6),
@@ -70,9 +74,13 @@ def hourly_counts_stream(spark, sf_dir):
     root = shared_dir(spark, "hourly")
     landing = f"{root}/landing"
     _land(ev, landing)
-    # One catch-up batch: every landed file is in the first micro-batch, so
-    # no row is behind the watermark when it is counted.
-    hourly_counts(spark, f"{landing}/*", _typed(spark), "ts", "event_type",
-                  f"{root}/counts", f"{root}/_checkpoint", max_files_per_trigger=1_000_000)
+    typed = _typed(spark)
+
+    def read_days(days: list[str]) -> DataFrame:
+        return typed(read_envelope_jsonl(spark, [f"{landing}/d={d}" for d in days]))
+
+    # a small cap: the backlog takes several batches, in no order of event time
+    hourly_counts(spark, f"{landing}/*", typed, "ts", "event_type", f"{root}/counts", f"{root}/_checkpoint",
+                  read_days, max_files_per_trigger=FILES_PER_BATCH)
     return hourly_counts_view(spark, f"{root}/counts").select(
         F.col("report_hour").cast("string").alias("report_hour"), "table_name", "n_files")

@@ -8,10 +8,10 @@ files of that hour, then replaces only those hour partitions.  Rebuilding (not
 appending the micro-batch) keeps the write idempotent: a re-run or a retried
 batch produces the same partition.
 
-X3.  Hourly counts as a streaming aggregation with a watermark: the state of an
-hour is dropped once the watermark passes it, so state stays bounded.  Each
-micro-batch emits the updated (hour, table) counts and replaces exactly those
-rows' partitions.
+X3.  Hourly counts per (hour, table) on the same stream: each micro-batch
+recounts the days that its files touch from *all* landed files of those days
+and replaces only those day partitions.  No state and no watermark are kept, so
+the counts do not depend on the files per batch or on the order of the files.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import temporal as tf
 from tidemark.sinks.partitions import replace_partitions
-from tidemark.sources.files import ENVELOPE_SCHEMA
+from tidemark.sources.files import ENVELOPE_SCHEMA, read_envelope_jsonl
 
 HOUR_FMT = "yyyyMMddHH"
 
@@ -72,45 +71,47 @@ def intraday_ingest(spark: SparkSession, landing_glob: str, typed: Callable[[Dat
     q.awaitTermination()
 
 
-def hourly_counts_batch(table_path: str) -> Callable[[DataFrame, int], None]:
-    """Append the updated (hour, table) counts of a micro-batch, tagged with
-    the batch id.  The table is a change log: one file per batch, partitioned
-    by day; readers keep the newest count per key (``hourly_counts_view``).
-    A retried batch re-appends identical rows under the same id, which the
-    view collapses, so the sink is idempotent without a MERGE."""
+def recount_days_batch(read_days: Callable[[list[str]], DataFrame], ts_col: str, table_col: str,
+                       table_path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body for X3.
+
+    ``read_days`` returns typed rows of every landed file that can hold the
+    given ``yyyy-MM-dd`` days.  Only the day keys of a micro-batch are brought
+    to the driver.  A retried batch recounts the same days."""
+    day = F.date_format(ts_col, "yyyy-MM-dd")
+
     def run(batch: DataFrame, epoch_id: int) -> None:
-        start = tf.instant_to_utc(F.col("window.start"))
-        out = batch.select(F.date_format(start, HOUR_FMT).alias("report_hour"),
-                           "table_name", "n_files", F.lit(epoch_id).cast("bigint").alias("batch_id"),
-                           F.to_date(start).alias("report_day"))
-        out.write.mode("append").partitionBy("report_day").parquet(table_path)
+        days = sorted(r[0] for r in batch.where(F.col(ts_col).isNotNull()).select(day.alias("d")).distinct().collect())
+        if not days:
+            return
+        counts = (read_days(days).filter(day.isin(days))
+                  .groupBy(F.date_format(ts_col, HOUR_FMT).alias("report_hour"), F.col(table_col).alias("table_name"))
+                  .agg(F.count(F.lit(1)).alias("n_files")))
+        replace_partitions(counts.withColumn("report_day", F.to_date("report_hour", HOUR_FMT)), table_path, ["report_day"])
+
     return run
 
 
 def hourly_counts_view(spark: SparkSession, table_path: str) -> DataFrame:
-    """Current count per (hour, table): the newest batch's row wins."""
-    from tidemark.operators.latest import latest_per_key
-
-    log = spark.read.parquet(table_path)
-    return latest_per_key(log, ["report_hour", "table_name"],
-                          [F.col("batch_id").desc(), F.col("n_files").desc()]).drop("batch_id")
+    """Current count per (hour, table)."""
+    return spark.read.parquet(table_path)
 
 
 def hourly_counts(spark: SparkSession, landing_glob: str, typed: Callable[[DataFrame], DataFrame],
                   ts_col: str, table_col: str, table_path: str, checkpoint: str,
-                  watermark: str = "2 hours", max_files_per_trigger: int = 1000) -> None:
-    """Running count per (hour, table) with a watermark, update mode.
-
-    Rows older than the watermark when they arrive are late and dropped, as
-    in any watermarked aggregation; choose ``watermark`` as the allowed
-    lateness of the landing feed."""
-    stream = (typed(envelope_stream(spark, landing_glob, max_files_per_trigger))
-              .withColumn("_event_time", tf.utc_instant(F.col(ts_col))))
-    counts = (stream.withWatermark("_event_time", watermark)
-              .groupBy(F.window("_event_time", "1 hour"), F.col(table_col).alias("table_name"))
-              .agg(F.count(F.lit(1)).alias("n_files")))
-    q = (counts.writeStream.outputMode("update")
-         .foreachBatch(hourly_counts_batch(table_path))
+                  read_days: Callable[[list[str]], DataFrame] | None = None,
+                  max_files_per_trigger: int = 1000) -> None:
+    """Count of landed rows per (hour, table), for every file landed so far.
+
+    ``read_days`` should read only the files that can hold the given days (see
+    ``rebuild_hours_batch``); without it every landed file is read again for
+    each micro-batch.  ``max_files_per_trigger`` bounds the work of a batch;
+    the result does not depend on it."""
+    def read_all(days: list[str]) -> DataFrame:
+        return typed(read_envelope_jsonl(spark, [landing_glob]))
+
+    q = (typed(envelope_stream(spark, landing_glob, max_files_per_trigger)).writeStream
+         .foreachBatch(recount_days_batch(read_days or read_all, ts_col, table_col, table_path))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
