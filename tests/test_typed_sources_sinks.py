@@ -172,6 +172,22 @@ def test_relayout_adds_days_and_repeats_change_nothing(spark, tmp_shared):  # K8
     assert {(r.year, r.yyyymm) for r in back.collect()} == {(2024, 202401)}
 
 
+def test_relayout_keeps_columns_that_a_run_lacks(spark, tmp_shared):  # K8
+    from tidemark.sinks.partitions import relayout_year_month
+
+    path, day = f"{tmp_shared}/ym", lambda d: dt.date(2024, 1, d)
+    relayout_year_month(spark.createDataFrame([], "v int, d date"), "d", path)
+    relayout_year_month(spark.createDataFrame([(1, "a", day(1)), (2, "b", day(2))], "v int, name string, d date"), "d", path)
+    relayout_year_month(spark.createDataFrame([(3, day(2)), (4, day(3))], "v int, d date"), "d", path)
+    relayout_year_month(spark.createDataFrame([(5, 0.5, day(4))], "v int, share double, d date"), "d", path)
+    back = spark.read.option("mergeSchema", True).parquet(path)
+    assert sorted((r.v, r.name, r.share) for r in back.collect()) == [
+        (1, "a", None), (3, None, None), (4, None, None), (5, None, 0.5)]
+    with pytest.raises(ValueError, match="v: int in the table, string in the run"):
+        relayout_year_month(spark.createDataFrame([("6", day(5))], "v string, d date"), "d", path)
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_reload_empties_a_day_without_rows(spark, tmp_shared):  # X2, T12
     from tidemark.sinks.partitions import reload_window_days
 

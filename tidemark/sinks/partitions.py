@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def partition_dir(table_path: str, part_col: str, value) -> str:
@@ -92,20 +93,34 @@ def relayout_year_month(df: DataFrame, date_col: str, table_path: str,
     ``rebalance`` on the partition keys gives few, large files per month; AQE
     splits a month that is much larger than the rest, and the per-file record
     bound only splits files.
+
+    Held rows are read with the schema of the whole table, so they keep columns
+    that this run does not have, and rows lack what only the other side has
+    (NULL).  A column whose type differs between run and table raises.  After a
+    run that brings new columns, readers need ``mergeSchema`` to see them in
+    all months.
     """
     out = (df.withColumn("year", F.year(date_col))
              .withColumn("yyyymm", F.date_format(date_col, "yyyyMM")))
+    spark = df.sparkSession
     try:
-        held = df.sparkSession.read.schema(out.schema).parquet(table_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        own = spark.read.option("mergeSchema", True).parquet(table_path).drop("year", "yyyymm").schema
+    except AnalysisException as e:  # no table yet, or one without files
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    else:  # only dates and months reach these joins: one row each
+    else:
+        types = {f.name.lower(): f.dataType.simpleString() for f in own}
+        clash = [f"{f.name}: {types[f.name.lower()]} in the table, {f.dataType.simpleString()} in the run" for f in out.schema
+                 if types.get(f.name.lower(), f.dataType.simpleString()) != f.dataType.simpleString()]
+        if clash:
+            raise ValueError(f"types differ from those of {table_path}: {'; '.join(clash)}")
+        held = spark.read.schema(T.StructType([*own, out.schema["year"], out.schema["yyyymm"]])).parquet(table_path)
+        # only dates and months reach these joins: one row each
         months = out.select(F.col("yyyymm").alias("_month")).distinct()
         days = out.select(F.to_date(date_col).alias("_day")).distinct()
         rest = (held.join(months, F.col("yyyymm").eqNullSafe(F.col("_month")), "left_semi")
                     .join(days, F.to_date(date_col).eqNullSafe(F.col("_day")), "left_anti"))
-        out = out.unionByName(rest.select(*out.columns))
+        out = out.unionByName(rest, allowMissingColumns=True)
     (out.hint("rebalance", "year", "yyyymm")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
