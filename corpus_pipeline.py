@@ -38,13 +38,27 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of the smallest doc_id, of each group of near copies (and one row of each doc_id)."""
-    classes = written(ngram_join.jaccard_classes(docs, k=5, num=80, den=100).select("doc_id", "component_id"), "pipeline-classes")
-    copies = classes.where("doc_id <> component_id").select("doc_id")
-    repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = thinned(docs, "doc_id", repeated, "doc_id").join(repeated, "doc_id", "left_semi") \
-        .join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return without(docs, "doc_id", copies.union(repeated), "doc_id").unionByName(again)
+    """Keep one row, that of the smallest doc_id, of each group of near copies.
+
+    Rows that repeat a doc_id are decided on one by one, by their own text: of
+    those with equal texts one counts, that of the smallest other columns, and
+    of near copies under one doc_id the one whose text has the smallest digest.
+    """
+    repeated = written(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                       "pipeline-repeated")
+    rows, key = docs, F.col("doc_id")
+    if not repeated.isEmpty():
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        again = thinned(docs, "doc_id", repeated, "doc_id").join(repeated, "doc_id", "left_semi") \
+            .groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("__none"), *others)).alias("__other")) \
+            .select("doc_id", "text", *(F.col("__other")[c].alias(c) for c in others),
+                    F.coalesce(F.sha2("text", 256), F.lit("")).alias("__place"))
+        rows = written(without(docs, "doc_id", repeated, "doc_id").withColumn("__place", F.lit("")).unionByName(again), "pipeline-rows")
+        key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "__place"))
+    rows = rows.withColumn("__key", key)
+    classes = ngram_join.jaccard_classes(rows.select(F.col("__key").alias("doc_id"), "text"), k=5, num=80, den=100)
+    copies = written(classes.where("doc_id <> component_id").select("doc_id"), "pipeline-copies")
+    return without(rows, "__key", copies, "doc_id").select(*docs.columns)
 
 
 def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

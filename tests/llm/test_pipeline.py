@@ -34,3 +34,14 @@ def test_stages(spark, tmp_path, words):
     assert 21 not in ids[2] and 30 not in ids[3]
     assert item not in kept[3][31] and set(range(12)) <= ids[3]
     assert all(x.copies in (1, 2) and x.n_chars == len(x.text) for x in docs.collect())
+
+
+def test_rows_of_one_doc_id_are_decided_one_by_one(spark, tmp_path, words):
+    a, b, c, d, e = (" ".join(words(80)) for _ in range(5))
+    rows = [(1, a, "s1"), (1, b, "s1"), (2, a + " tail", "s1"), (3, b + " tail", "s1"), (5, c, "s2"), (5, c, "s1"), (5, c, "s1"),
+            (6, a, "s1"), (6, d, "s1"), (7, e, "s1"), (None, a, "s1"), (None, a, "s1"), (8, None, "s1"), (8, "", "s1")]
+    want = [(1, a, "s1"), (1, b, "s1"), (5, c, "s1"), (6, d, "s1"), (7, e, "s1"), (8, None, "s1"), (8, "", "s1")]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        out = corpus_pipeline.join_near_copies(spark, docs, str(tmp_path)).collect()
+        assert sorted(map(tuple, out), key=str) == sorted(want + [(None, a, "s1")] * 2, key=str)
