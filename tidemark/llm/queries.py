@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, decontaminate, langid, licenses, line_dedup, mixing, ngram_join, pii, token_counts,
+from tidemark.llm import (ann, decontaminate, langid, licenses, line_dedup, merkle, mixing, ngram_join, pii, token_counts,
                           warc)
 from tidemark.llm.oracles import ORACLE
 
@@ -97,6 +97,14 @@ def op10_nearest_neighbours(spark, sf_dir):
     return ann.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    proved = merkle.audit(_table(spark, sf_dir, "documents"),
+                          F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0)
+    return proved.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", "").cast("binary"), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
