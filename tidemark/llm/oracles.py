@@ -3,6 +3,7 @@
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLDED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 _SPACED = r"'[^ \t\n\x0B\f\r]+'"
+_LETTERS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 ORACLE = {
@@ -84,6 +85,32 @@ SELECT doc_id, size, source_size, target,
        (size * (copies + CASE WHEN cum <= budget OR cum - own <= budget AND cum - budget < budget - (cum - own)
                               THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c
+""",
+    "op11_source_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_FOLDED}, {_LETTERS}) AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS w FROM d),
+k AS (SELECT lang, w, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+l AS (SELECT lang, count(w)::HUGEINT AS v, coalesce(sum(n), 0)::HUGEINT AS total
+      FROM (SELECT DISTINCT lang FROM d) LEFT JOIN k USING (lang) GROUP BY lang),
+c AS (SELECT lang, source, w, count(*) AS n FROM t SEMI JOIN k USING (lang, w) GROUP BY ALL),
+g AS (SELECT lang, source, v, coalesce(sum(n), 0)::HUGEINT AS total
+      FROM (SELECT DISTINCT lang, source FROM d) JOIN l USING (lang) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+e AS (SELECT lang, source, w, coalesce(c.n, 0) AS n, k.n AS lang_n,
+             1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (total + v) AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, w)),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+         FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+                    FROM e AS x JOIN e AS y ON x.lang = y.lang AND x.w = y.w AND x.source <> y.source GROUP BY ALL) AS s
+           ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+term AS (SELECT lang, source, w AS item, (p - q) * (p - q) // q AS value
+         FROM (SELECT *, 1 + 1000000000::HUGEINT * (lang_n + 1) // (total + v) AS q FROM e JOIN l USING (lang))
+         WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+      FROM (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' FROM term))
+WHERE part = 'pair' OR rank <= 200
 """,
     "op13_merkle_manifest": """
 WITH RECURSIVE

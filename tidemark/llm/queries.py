@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, decontaminate, langid, licenses, line_dedup, merkle, mixing, ngram_join, pii, token_counts,
-                          warc)
+from tidemark.llm import (ann, decontaminate, divergence, langid, licenses, line_dedup, merkle, mixing, ngram_join, pii,
+                          token_counts, warc)
 from tidemark.llm.oracles import ORACLE
 
 #: Vocabulary file of the token counts.
@@ -97,6 +97,11 @@ def op10_nearest_neighbours(spark, sf_dir):
     return ann.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     proved = merkle.audit(_table(spark, sf_dir, "documents"),
