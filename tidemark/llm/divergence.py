@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import written
-from tidemark.llm.words import split_words, text_slices
+from tidemark.llm.words import spelled, split_words, text_slices
 
 #: True for bytes of a term ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+``, after lower-casing A-Z.
 LETTER = np.zeros(256, dtype=bool)
@@ -37,30 +37,34 @@ SCALE = 1_000_000_000
 BLOCK_TERMS, TILE_SOURCES = 8192, 64
 #: Terms reported per group.
 TOP_TERMS = 200
-#: Distinct (group, term) that a counting task holds before it passes them on.
-HELD_TERMS = 200_000
+#: Counts of (group, term) that a counting task holds before it sums them up and passes them on.
+HELD_TERMS = 1_000_000
 #: Bitset words of one side that are ANDed with all others at a time.
 _ROWS_AT_ONCE = 256
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, str, bytes], list[int]] = {}
+def _summed(parts: list[tuple], names: list[tuple[str, str]]) -> pa.RecordBatch:
+    """One row per (group, term) of the counts of several slices."""
+    group, h, n, docs = (np.concatenate(x) for x in list(zip(*parts))[:4])
+    terms = pa.chunked_array([x[4] for x in parts])
+    order = np.lexsort((h, group))
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(group[order]) != 0)]))
+    langs, sources = (pa.array(x) for x in zip(*names))
+    of = group[order][first]
+    return pa.RecordBatch.from_arrays(
+        [langs.take(pa.array(of)), sources.take(pa.array(of)), terms.take(pa.array(order[first])).combine_chunks().cast(pa.string()),
+         pa.array(np.add.reduceat(n[order], first)), pa.array(np.add.reduceat(docs[order], first))],
+        ["lang", "source", "term", "n", "docs"])
 
-    def passed_on() -> pa.RecordBatch:
-        langs, sources, terms = zip(*held)
-        n, docs = zip(*held.values())
-        held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs), pa.array(sources), pa.array([t.decode() for t in terms]), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
-            ["lang", "source", "term", "n", "docs"])
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         groups = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
         known = {g: x for x, g in enumerate(dict.fromkeys(groups))}
-        names = list(known)
+        names, k = list(known), len(known)
         group_of = np.array([known[g] for g in groups])
-        for lang, source in names:  # a group counts without terms too
-            held.setdefault((lang, source, b""), [0, 0])
+        zero = np.zeros(k, dtype=np.int64)  # a group counts without terms too
+        parts = [(np.arange(k), zero.astype(np.uint64), zero, zero, pa.array([""] * k, pa.large_string()))]
         for i, j, data, bounds in text_slices(batch.column(0)):
             words = split_words(data, bounds, LETTER)
             if not len(words.starts):
@@ -69,18 +73,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             in_doc, times = np.unique(words.text_of() * len(unique) + which, return_counts=True)
             doc, term = np.divmod(in_doc, len(unique))
             key = group_of[i + doc] * len(unique) + term
-            cells, where, docs = np.unique(key, return_inverse=True, return_counts=True)
-            n = np.zeros(len(cells), dtype=np.int64)
-            np.add.at(n, where, times)
-            spelled = [words.word(x) for x in first.tolist()]
-            for group, term, n_, docs_ in zip(*(x.tolist() for x in (*np.divmod(cells, len(unique)), n, docs))):
-                c = held.setdefault((*names[group], spelled[term]), [0, 0])
-                c[0] += n_
-                c[1] += docs_
-            if len(held) > HELD_TERMS:
-                yield passed_on()
-    if held:
-        yield passed_on()
+            order = np.argsort(key)
+            at = np.flatnonzero(np.diff(key[order], prepend=-1))
+            group, term = np.divmod(key[order][at], len(unique))
+            parts.append((group, unique[term], np.add.reduceat(times[order], at), np.diff(at, append=len(key)),
+                          spelled(words, first[term])))
+            if sum(len(x[0]) for x in parts) > HELD_TERMS:
+                yield _summed(parts, names)
+                parts = []
+        if parts:
+            yield _summed(parts, names)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:

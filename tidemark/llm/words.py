@@ -89,6 +89,14 @@ class Words:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
 
+def spelled(words: Words, which: np.ndarray) -> pa.Array:
+    """These words as an Arrow array."""
+    starts, sizes = words.starts[which], words.ends[which] - words.starts[which]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])
+    return pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(words.data[at]))
+
+
 def hash_word(word: str) -> int:
     """The hash that :meth:`Words.hashes` gives this word."""
     raw = np.frombuffer(word.encode(), dtype=np.uint8)
