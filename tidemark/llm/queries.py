@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, decontaminate, divergence, langid, licenses, line_dedup, merkle, mixing, ngram_join, pii,
-                          token_counts, warc)
+from tidemark.llm import (ann, context_tree, decontaminate, divergence, langid, licenses, line_dedup, merkle, mixing,
+                          ngram_join, pii, token_counts, warc)
 from tidemark.llm.oracles import ORACLE
 
 #: Vocabulary file of the token counts.
@@ -102,6 +102,13 @@ def op11_source_divergence(spark, sf_dir):
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_lm_score(spark, sf_dir):
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    scored = context_tree.score_texts(_table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     proved = merkle.audit(_table(spark, sf_dir, "documents"),
