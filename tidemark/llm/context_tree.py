@@ -23,11 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import written
-from tidemark.llm.words import LOWER, NON_SPACE, spelled, split_words, text_slices
+from tidemark.llm.words import LOWER, NON_SPACE, spelled, split_words, text_slices, whole_hashes
 
 #: Bytes of context; a gram has one more and must fit 8 bytes.
 DEPTH = 4
@@ -35,8 +36,8 @@ DEPTH = 4
 PAD, END = 0xFE, 0xFF
 #: A chunk's texts have about so many bytes (a longer text alone).
 CHUNK_BYTES = 32 << 20
-#: Grams or words of a chunk that are held before equal ones are summed up.
-_HELD = 4_000_000
+#: Grams or words that are held, besides twice the distinct ones, before equal ones are summed up.
+_HELD = 500_000
 
 _U = np.uint64
 
@@ -172,14 +173,14 @@ class _Distinct:
     """Distinct keys with sums of their counts, and for words their spelling."""
 
     def __init__(self):
-        self.parts, self.held = [], 0
+        self.parts, self.held, self.merged = [], 0, 0
 
     def add(self, keys: np.ndarray, n: np.ndarray, words: pa.Array | None = None) -> None:
         self.parts.append((keys, n, words))
         self.held += len(keys)
-        if self.held > _HELD:
+        if self.held > _HELD + 2 * self.merged:
             self.parts = [self.all()]
-            self.held = len(self.parts[0][0])
+            self.held = self.merged = len(self.parts[0][0])
 
     def all(self) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
         keys, n = (np.concatenate(x) for x in list(zip(*self.parts))[:2])
@@ -299,9 +300,12 @@ def _score(depth: int, n_tokens: int, n_distinct: int):
         gram, score = gram[order], value[~is_word][order]
         unique = np.concatenate([[True], gram[1:] != gram[:-1]])
         index, score = pd.Index(gram[unique]), score[unique]
-        count = dict(zip(answers["word"].filter(pa.array(is_word)).to_pylist(), value[is_word].tolist()))
+        held = answers["word"].filter(pa.array(is_word)).combine_chunks()
+        count, count_of, at_end = value[is_word], pd.Index(whole_hashes(held)), pc.equal(held, "").to_numpy(zero_copy_only=False)
         of = lambda c: np.log10((c + 0.5) / (n_tokens + 0.5 * (n_distinct + 1)))
-        ends = count.get("", 0.0)
+        ends = float(count[at_end][0])
+        unique_words = ~count_of.duplicated()
+        count, count_of = count[unique_words], count_of[unique_words]
         out = []
         for batch in texts.to_batches():
             for i, j, data, bounds in text_slices(batch.column("text")):
@@ -311,8 +315,7 @@ def _score(depth: int, n_tokens: int, n_distinct: int):
                 base = np.full(j - i, of(ends))
                 known = np.full(j - i, int(ends > 0))
                 if len(split.starts):
-                    _, at, which = np.unique(split.hashes(), return_index=True, return_inverse=True)
-                    c = np.array([count[w] for w in spelled(split, at).to_pylist()])[which]
+                    c = count[count_of.get_indexer(split.hashes())]
                     text_of = split.text_of()
                     base = base + np.bincount(text_of, of(c), j - i)
                     known = known + np.bincount(text_of, c > 0, j - i).astype(np.int64)
@@ -342,7 +345,7 @@ def score_texts(docs: DataFrame, train: Column, depth: int = DEPTH, chunk_bytes:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
-    rows = written(rows.mapInArrow(_chunked(chunk_bytes), f"doc_id {id_type}, text string, train boolean, chunk long"), "ctw-texts")
+    rows = written(rows.mapInArrow(_chunked(chunk_bytes), f"doc_id {id_type}, text string, train boolean, chunk long"), "ctw-texts", "zstd")
     asked = written(rows.select("text", "train", "chunk").mapInArrow(_asked(depth), "chunk long, gram long, word string, n long"), "ctw-asked")
 
     pair = F.shiftrightunsigned("gram", 8 * (depth - 1))

@@ -15,11 +15,11 @@ from tidemark.session import shared_dir
 COARSE_KEYS = 1 << 20
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again."""
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -97,6 +97,14 @@ def spelled(words: Words, which: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(words.data[at]))
 
 
+def whole_hashes(column: pa.Array) -> np.ndarray:
+    """The hash that :meth:`Words.hashes` gives each text as one word (lower-cased already)."""
+    out = [np.empty(0, dtype=np.uint64)]
+    for i, j, data, bounds in text_slices(column):
+        out.append(Words(data, bounds, bounds[:-1], bounds[1:], np.arange(j - i + 1)).hashes())
+    return np.concatenate(out)
+
+
 def hash_word(word: str) -> int:
     """The hash that :meth:`Words.hashes` gives this word."""
     raw = np.frombuffer(word.encode(), dtype=np.uint8)
