@@ -38,7 +38,7 @@ BLOCK_TERMS, TILE_SOURCES = 8192, 64
 #: Terms reported per group.
 TOP_TERMS = 200
 #: Counts of (group, term) that a counting task holds before it sums them up and passes them on.
-HELD_TERMS = 1_000_000
+HELD_TERMS = 300_000
 #: Bitset words of one side that are ANDed with all others at a time.
 _ROWS_AT_ONCE = 256
 
