@@ -57,6 +57,16 @@ def test_decontaminated_texts(spark, docs_of):
     assert got == {1: "clean text here", 3: "é " * 200 + " END", 4: None}
 
 
+def test_rows_that_share_an_id_are_judged_alone(spark, docs_of):
+    item = "one two three four five"
+    long = "é " * 200 + item + " end"
+    rows = [(1, "clean text here"), (1, item), (1, long), (1, long), (None, "clean too"), (None, item), (None, long), (2, "clean text here")]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = sorted(((x.doc_id or -1, x.text) for x in decontaminate.decontaminate(docs_of(rows), benchmark, 5).collect()))
+    cut = "é " * 200 + " end"
+    assert got == sorted([(1, "clean text here"), (1, cut), (1, cut), (-1, "clean too"), (-1, cut), (2, "clean text here")])
+
+
 # --- personal data ---
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -307,17 +307,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
     Documents over the coverage limit go (hit words are ``percent`` of all or
     more); from the others the spans over the length limit (``window`` words)
     are cut out.  Documents without a hit are not touched, nor shuffled.  Cases:
-    as in :func:`match_benchmark`; rows with a null doc_id stay as they are,
-    and of rows that share a doc_id, each is judged by the one with most hits.
+    as in :func:`match_benchmark`; every row is judged by its own text, also
+    rows that share a doc_id or have none.
     """
-    # one row per id: its spans are those of one of its texts
-    hits = match_benchmark(docs, benchmark, window).where("doc_id is not null and size(spans) > 0")
+    # rows of equal key have equal texts, hence equal spans
+    key = F.sha2(F.concat(F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")), F.lit("\n"),
+                          F.coalesce("text", F.lit(""))).cast("binary"), 256)
+    rows = docs.withColumn("__key", key)
+    hits = match_benchmark(rows.select(F.col("__key").alias("doc_id"), "text"), benchmark, window).where("size(spans) > 0")
     n_hit = hit_words(F.col("spans"))
     hits = written(hits.select("doc_id", F.struct(over_limit(n_hit, F.col("n_words"), percent).alias("over"), "cuts").alias("hit"))
-                   .groupBy("doc_id").agg(F.max("hit").alias("hit")), "decontaminate-hits")
+                   .groupBy("doc_id").agg(F.first("hit").alias("hit")), "decontaminate-hits")
     some = hits.where("not hit.over").select(F.col("doc_id").alias("__id"), F.col("hit.cuts").alias("__cuts"))
-    found = thinned(docs, "doc_id", some, "__id")
-    found = found.join(some, found["doc_id"] == some["__id"])
+    found = thinned(rows, "__key", some, "__id")
+    found = found.join(some, found["__key"] == some["__id"])
     text = cut_out(found["text"], F.col("__cuts"))
     cleaned = found.select(*(text.alias(c) if c == "text" else found[c] for c in docs.columns))
-    return without(docs, "doc_id", hits, "doc_id").unionByName(cleaned)
+    return without(rows, "__key", hits, "doc_id").select(*docs.columns).unionByName(cleaned)
