@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -357,13 +358,22 @@ FROM orders WHERE year(o_orderdate) <> 2001 GROUP BY 1
 """)
 def replace_partition_idempotent(spark, sf_dir):
     """Initial load of orders by year, then 1998 replaced twice with its own
-    rows (idempotent) and 2001 replaced with an empty result (emptied)."""
+    rows (idempotent), a third time by a job that fails on a row (the old rows
+    stay), and 2001 replaced with an empty result (emptied)."""
     o = Tables(spark, sf_dir).orders.withColumn("o_year", F.year("o_orderdate"))
     root = shared_dir(spark, "replace")
     replace_table(o.filter(F.lit(False)), f"{root}/orders_by_year")   # K7 creates/clears the table
     replace_partitions(o, f"{root}/orders_by_year", ["o_year"])
     for _ in range(2):
         replace_partition(o.filter(F.col("o_year") == 1998), f"{root}/orders_by_year", "o_year", 1998)
+    bad_row = F.when(F.col("o_totalprice") >= 0, F.raise_error(F.lit("bad row")).cast("double"))
+    failed = False
+    try:
+        replace_partition(o.filter(F.col("o_year") == 1998).withColumn("o_totalprice", bad_row), f"{root}/orders_by_year", "o_year", 1998)
+    except PySparkException:
+        failed = True
+    if not failed and not o.filter(F.col("o_year") == 1998).isEmpty():
+        raise RuntimeError("the write of a bad row did not fail")
     replace_partition(o.filter(F.lit(False)), f"{root}/orders_by_year", "o_year", 2001)
     back = spark.read.parquet(f"{root}/orders_by_year")
     return back.groupBy(F.col("o_year").cast("bigint").alias("o_year")).agg(

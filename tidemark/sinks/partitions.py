@@ -2,7 +2,8 @@
 
 Every write goes through Spark's commit protocol: task output is staged and
 only committed by the job, so a lost executor re-runs its tasks without
-leaving partial files in the table.
+leaving partial files in the table.  Replacements of a partition or a table
+are prepared beside it and exchanged afterwards (``swap.py``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sinks.swap import replace_folder
+
 
 def partition_dir(table_path: str, part_col: str, value) -> str:
     if isinstance(value, dt.datetime):
@@ -27,13 +30,12 @@ def partition_dir(table_path: str, part_col: str, value) -> str:
 def replace_partition(df: DataFrame, table_path: str, part_col: str, value) -> str:
     """K1 / K2 (``table$YYYYMMDD`` / ``$YYYYMMDDHH`` with WRITE_TRUNCATE).
 
-    A *static* overwrite of exactly one partition directory.  Unlike a
-    dynamic partition overwrite, an empty ``df`` empties the partition (T12).
-    The first write creates the table.
+    Exactly one partition directory is exchanged, in two phases: a job that
+    fails leaves the old rows.  Unlike a dynamic partition overwrite, an empty
+    ``df`` empties the partition (T12).  The first write creates the table.
     """
     target = partition_dir(table_path, part_col, value)
-    out = df.drop(part_col) if part_col in df.columns else df
-    out.write.mode("overwrite").parquet(target)
+    replace_folder(df.drop(part_col) if part_col in df.columns else df, target)
     return target
 
 
@@ -72,8 +74,8 @@ def append(df: DataFrame, table_path: str, part_cols: Sequence[str] = ()) -> Non
 
 
 def replace_table(df: DataFrame, table_path: str) -> None:
-    """K7: WRITE_TRUNCATE of a whole table."""
-    df.write.mode("overwrite").parquet(table_path)
+    """K7: WRITE_TRUNCATE of a whole table, in two phases (a job that fails leaves the old rows)."""
+    replace_folder(df, table_path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
