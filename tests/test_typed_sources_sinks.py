@@ -29,7 +29,7 @@ def test_map_types_and_modes(spark):  # D1, D2
 def test_unknown_type_fails_at_plan_time(spark):
     d = ty.map_types(dictionary(spark, [("t", "a", "geography", "1", 1)]))
     with pytest.raises(ValueError):
-        ty.table_fields(d, "t")
+        ty.table_fields(d, "t", "ORDINAL")
 
 
 def test_envelope_upper_case_keys_and_failfast(spark, tmp_shared):  # S5, T4, T5

@@ -12,10 +12,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The landing-file text formats.  Temporal fields arrive as
-# ISO-8601 UTC text "YYYY-MM-DDTHH:MM:SS[.fraction]Z" (0, 3 or 6 fraction
-# digits); TIME fields as "HH:MM:SS".
-ISO_UTC_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]'Z'"
-ISO_INSTANT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]X"
+# ISO-8601 UTC text "YYYY-MM-DDTHH:MM:SS[.fraction]Z" (0 to 9 fraction
+# digits, datetime2 has 7); TIME fields as "HH:MM:SS".
+FRACTION = "[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"
+ISO_UTC_PATTERN = f"yyyy-MM-dd'T'HH:mm:ss{FRACTION}'Z'"
+ISO_INSTANT_PATTERN = f"yyyy-MM-dd'T'HH:mm:ss{FRACTION}X"
+#: Length of such a text with six fraction digits, without the Z.
+ISO_MICROS = 26
 TIME_PATTERN = "HH:mm:ss"
 LOCAL_ZONE = "Asia/Bangkok"
 
@@ -24,9 +27,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def cut_to_micros(c) -> Column:
+    """ISO text with a trailing Z, fraction digits after the sixth cut off."""
+    src = _c(c)
+    nanos = (F.length(src) > ISO_MICROS + 1) & F.endswith(src, F.lit("Z"))
+    return F.when(nanos, F.concat(F.substring(src, 1, ISO_MICROS), F.lit("Z"))).otherwise(src)
+
+
 def parse_iso_utc(c) -> Column:
-    """ISO text with a trailing Z -> TIMESTAMP_NTZ (the UTC wall clock)."""
-    return F.to_timestamp_ntz(_c(c), F.lit(ISO_UTC_PATTERN))
+    """ISO text with a trailing Z -> TIMESTAMP_NTZ (the UTC wall clock, to the microsecond)."""
+    return F.to_timestamp_ntz(cut_to_micros(c), F.lit(ISO_UTC_PATTERN))
 
 
 def parse_temporal(c, kind: str, nullable: bool = True) -> Column:
@@ -48,7 +58,7 @@ def parse_temporal(c, kind: str, nullable: bool = True) -> Column:
         elif kind == "TIMESTAMP":
             # Warehouse TIMESTAMP is an instant; the trailing Z is read as the
             # UTC offset, so the session time zone plays no part.
-            parsed = F.to_timestamp(src, F.lit(ISO_INSTANT_PATTERN))
+            parsed = F.to_timestamp(cut_to_micros(src), ISO_INSTANT_PATTERN)
         else:
             raise ValueError(f"not a temporal kind: {kind}")
     if nullable:

@@ -86,13 +86,14 @@ def map_types(dictionary: DataFrame) -> DataFrame:
                  .otherwise(F.lit("NULLABLE")))
 
 
-def table_fields(typed_dictionary: DataFrame, table: str, order_col: str | None = None) -> list[Field]:
-    """The field list of one table, in dictionary order.  Unknown spellings
-    raise here, when the plan is built, instead of producing a broken load."""
-    d = typed_dictionary.filter(F.col("TABLE_NAME") == table.lower())
-    if order_col:
-        d = d.orderBy(order_col)
+def table_fields(typed_dictionary: DataFrame, table: str, order_col: str) -> list[Field]:
+    """The field list of one table, in the order of ``order_col`` (rows of a
+    DataFrame have none of their own).  Unknown tables and spellings raise
+    here, when the plan is built, instead of producing a broken load."""
+    d = typed_dictionary.filter(F.col("TABLE_NAME") == table.lower()).orderBy(order_col)
     rows = d.select("COLUMN_NAME", "DATA_TYPE", "warehouse_type", "mode").collect()
+    if not rows:
+        raise ValueError(f"table {table} is not in the dictionary")
     bad = [(r.COLUMN_NAME, r.DATA_TYPE) for r in rows if r.warehouse_type is None]
     if bad:
         raise ValueError(f"cannot map data type(s) for table {table}: {bad}")

@@ -41,13 +41,11 @@ MODELS: dict[str, tuple[Callable[..., DataFrame], dict]] = {
 }
 
 
-def fields_from_dictionary(dictionary: DataFrame, table: str,
-                           header: Sequence[str] = ("TABLE_NAME", "COLUMN_NAME", "DATA_TYPE",
-                                                    "IS_NULLABLE"),
-                           order_col: str | None = None) -> list[Field]:
+def fields_from_dictionary(dictionary: DataFrame, table: str, header: Sequence[str], order_col: str) -> list[Field]:
     """The typed field list of ``table`` from a dictionary sheet whose
-    four columns are named ``header`` (the header names differ per source)."""
-    d = normalise_dictionary(dictionary, header, keep=[order_col] if order_col else [])
+    four columns (table, column, type, nullable) are named ``header`` (the
+    names differ per source) and whose rows ``order_col`` numbers."""
+    d = normalise_dictionary(dictionary, header, keep=[order_col])
     return table_fields(map_types(d), table, order_col=order_col)
 
 

@@ -28,10 +28,10 @@ from tidemark.session import shared_dir
 from tidemark.sinks.partitions import (append, export_csv, relayout_year_month,
                                        reload_window_days, replace_partition, replace_partitions,
                                        replace_table)
-from tidemark.sources.files import (JDA_CONTROL_SCHEMA, POS_CONTROL_SCHEMA, infer_envelope_fields,
+from tidemark.sources.files import (JDA_CONTROL_SCHEMA, POS_CONTROL_SCHEMA, dated_rows, infer_envelope_fields,
                                     read_control_jda, read_control_pos, read_delimited,
                                     read_envelope_jsonl)
-from tidemark.sources.manifest import discover_tables, files_by_suffix_date, list_files
+from tidemark.sources.manifest import discover_tables, list_files
 from tidemark.operators.unions import union_all
 from tidemark.sinks.files import write_named_files
 
@@ -296,11 +296,7 @@ def control_read_jda(spark, sf_dir):
     lines = _control_lines(Tables(spark, sf_dir))
     write_named_files(lines, f"{root}/outbound", "file_name",
                       [c.name for c in JDA_CONTROL_SCHEMA.fields], sep="|")
-    files = files_by_suffix_date(list_files(spark, f"{root}/outbound/*"), "ctrl")
-    ctrl = read_control_jda(spark, f"{root}/outbound/*.ctrl").withColumn(
-        "path", F.col("_metadata.file_path"))
-    return (ctrl.join(files.select("path", "file_date"), "path")
-                .drop("path"))
+    return dated_rows(read_control_jda(spark, f"{root}/outbound/*.ctrl"))
 
 
 @query("control_read_pos", ("S7", "S9"), oracle="""
@@ -318,10 +314,7 @@ def control_read_pos(spark, sf_dir):
     root = shared_dir(spark, "poslog")
     write_named_files(lines, f"{root}/outbound", "file_name",
                       [c.name for c in POS_CONTROL_SCHEMA.fields], sep="|")
-    files = files_by_suffix_date(list_files(spark, f"{root}/outbound/*"), "LOG")
-    ctrl = read_control_pos(spark, f"{root}/outbound/*.LOG").withColumn(
-        "path", F.col("_metadata.file_path"))
-    return ctrl.join(files.select("path", "file_date"), "path").drop("path")
+    return dated_rows(read_control_pos(spark, f"{root}/outbound/*.LOG"))
 
 
 @query("dictionary_coverage", ("D11",), oracle="""

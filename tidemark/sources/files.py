@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.manifest import suffix_date
+
 # Landing envelope and control-file layouts.
 ENVELOPE_PREFIX = "_airbyte_"
 ENVELOPE_SCHEMA = "_airbyte_ab_id string, _airbyte_emitted_at bigint, _airbyte_data map<string,string>"
@@ -21,6 +23,8 @@ POS_CONTROL_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in (
     "FileCreateDate", "FileCreateTime", "DataRowCount")])
 DELIMITER = "|"
 NULL_MARKER = "NULL"
+#: Stands for "no marker": with an empty marker Spark would read quoted empty fields as NULL.
+NO_MARKER = "\x00"
 
 
 def read_envelope_jsonl(spark: SparkSession, paths: str | Sequence[str],
@@ -37,15 +41,18 @@ def read_envelope_jsonl(spark: SparkSession, paths: str | Sequence[str],
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
-                   null_marker: str | None = None, mode: str = "FAILFAST") -> DataFrame:
-    """``|``-delimited text with one header row; quoted fields may span
-    lines.  ``null_marker`` (``NULL``) is honoured only for the feeds that use
-    it (T13); elsewhere the text ``NULL`` stays a string."""
-    r = (spark.read.schema(schema).option("sep", DELIMITER).option("header", True)
-         .option("multiLine", True).option("mode", mode).option("enforceSchema", True))
-    if null_marker is not None:
-        r = r.option("nullValue", null_marker)
-    return r.csv(paths)
+                   null_marker: str | None = None, mode: str = "FAILFAST", multi_line: bool = True) -> DataFrame:
+    """``|``-delimited text with one header row.
+
+    A quoted empty field is the text ``''`` and an unquoted one is NULL, with a
+    marker or without.  ``null_marker`` (``NULL``) is honoured only for the
+    feeds that use it (T13); elsewhere the text ``NULL`` stays a string.
+    ``multi_line`` allows line breaks in quoted fields, at the price of one
+    task per file; feeds without them set it to False and are split.
+    """
+    return (spark.read.schema(schema).option("sep", DELIMITER).option("header", True).option("escape", '"')
+            .option("nullValue", null_marker or NO_MARKER).option("emptyValue", "")
+            .option("multiLine", multi_line).option("mode", mode).option("enforceSchema", True).csv(paths))
 
 
 def read_control_jda(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -63,6 +70,11 @@ def with_source_file(df: DataFrame, col: str = "source_path") -> DataFrame:
     return df.withColumn(col, F.col("_metadata.file_path"))
 
 
+def dated_rows(df: DataFrame, col: str = "file_date") -> DataFrame:
+    """Each row with the date in the name of its file (``*_<YYYY-MM-DD>.<ext>``)."""
+    return df.withColumn(col, suffix_date(F.col("_metadata.file_path")))
+
+
 def infer_envelope_fields(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """S13 (re-aimed): infer the payload schema from *all* rows, not one sample
     line, and return it as ``(field, inferred_type)`` rows."""

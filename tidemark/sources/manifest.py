@@ -33,7 +33,7 @@ def folder_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
-def list_files(spark: SparkSession, path_glob: str) -> DataFrame:
+def list_files(spark: SparkSession, path_glob: str | Sequence[str]) -> DataFrame:
     """``(path, length)`` of the non-empty files under ``path_glob``.
 
     Spark's file scan leaves out files of length 0.  Checks that have to see
@@ -42,6 +42,11 @@ def list_files(spark: SparkSession, path_glob: str) -> DataFrame:
             .select("path", "length"))
 
 
+def decoded_path(path: Column) -> Column:
+    """A path as listings give it, from the URI form of ``_metadata.file_path``."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def files_from_inventory(inventory: DataFrame, path_col: str, size_col: str) -> DataFrame:
     """``(path, length)`` of every file, empty ones included, from a table
     of the store's listing (such as the inventory reports of object stores)."""
@@ -96,6 +101,11 @@ def files_by_suffix_date(files: DataFrame, ext: str, day: dt.date | None = None)
     return out if day is None else out.filter(F.col("file_date") == F.lit(day))
 
 
+def suffix_date(path: Column) -> Column:
+    """The date of a path ``*_<YYYY-MM-DD>.<ext>``; NULL for other names."""
+    return F.try_to_date(F.regexp_extract(file_name(path), SUFFIX_DATE_NAME, 1), "yyyy-MM-dd")
+
+
 def parse_control_manifest(files: DataFrame, source: str) -> DataFrame:
     """``<source>_<table>_<epoch s>.ctrl`` -> (table, path, epoch_s, ctrl_date UTC)."""
     name = file_name(F.col("path"))
