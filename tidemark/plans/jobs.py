@@ -1,6 +1,8 @@
 """End-to-end jobs: what a scheduled run does, as one call each.
 
 E1  ``daily_landing_load``   landing JSON-lines -> typed day partition
+    ``daily_manifest_load``  the same for the files that a listing has for a day
+    ``hourly_landing_load``  the files whose epoch falls into an hour -> hour partition
     ``delimited_load``       ``|``-delimited feed -> ingestion-date partition
 E2  ``mart_run``             one model for one cut-off -> its day partition
     ``mart_backfill``        a model over configured offsets (G6), ``#`` entries skipped
@@ -16,12 +18,15 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.typed import (Field, add_audit_columns, enforce_required, map_types,
                                       normalise_dictionary, table_fields, typed_projection)
 from tidemark.plans import models as M
+from tidemark.sinks.load_log import LoadLog
 from tidemark.sinks.partitions import replace_partition
 from tidemark.sources.files import read_control_jda, read_delimited, read_envelope_jsonl
+from tidemark.sources.manifest import files_for_day, files_for_hour, nonempty_files
 
 # name -> (model function, keyword arguments); the 42 SQL models map onto these.
 MODELS: dict[str, tuple[Callable[..., DataFrame], dict]] = {
@@ -59,6 +64,42 @@ def daily_landing_load(spark: SparkSession, landing: str | Sequence[str], fields
                              "report_date", report_date)
 
 
+def _paths(files: DataFrame) -> list[str]:
+    """The paths of one table's files of a day or an hour; only they reach the driver."""
+    return sorted(r.path for r in files.select("path").collect())
+
+
+def daily_manifest_load(spark: SparkSession, manifest: DataFrame, table: str, fields: Sequence[Field], report_date: dt.date,
+                        run_date: dt.date, table_path: str, log: LoadLog) -> str:
+    """E1 from a listing (``parse_data_manifest``): the files whose name starts
+    with the report date (S3), without empty ones (S2), become the day's
+    partition and are entered in the load log.  Without any file left the load
+    is skipped and the partition stays as it is (Q10).  Returns ``load`` or
+    ``skip``; a repeated run replaces both the partition and its entry."""
+    files = nonempty_files(files_for_day(manifest.filter(F.col("table_name") == table), report_date))
+    paths = _paths(files)
+    if not paths:
+        return "skip"
+    daily_landing_load(spark, paths, fields, report_date, run_date, table_path)
+    log.record(table, f"day-{report_date.isoformat()}", files)
+    return "load"
+
+
+def hourly_landing_load(spark: SparkSession, manifest: DataFrame, table: str, fields: Sequence[Field], hour: dt.datetime,
+                        run_time: dt.datetime, table_path: str, log: LoadLog) -> str:
+    """X1 as one scheduled run: the files whose epoch (UTC) falls into the hour
+    (S4), whatever their rows say, replace the ``report_hour`` partition."""
+    key = hour.strftime("%Y%m%d%H")
+    files = nonempty_files(files_for_hour(manifest.filter(F.col("table_name") == table), key))
+    paths = _paths(files)
+    if not paths:
+        return "skip"
+    typed = enforce_required(typed_projection(read_envelope_jsonl(spark, paths), fields), fields)
+    replace_partition(add_audit_columns(typed, hour, run_time, grain="hour"), table_path, "report_hour", hour)
+    log.record(table, f"hour-{key}", files)
+    return "load"
+
+
 def delimited_load(spark: SparkSession, paths: str | Sequence[str], schema, ingest_date: dt.date,
                    table_path: str, null_marker: str | None = None) -> str:
     """Delimited feed of one ingestion day -> ``_partition_date`` partition."""

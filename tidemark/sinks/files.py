@@ -20,12 +20,25 @@ def write_named_files(df: DataFrame, out_dir: str, name_col: str, cols: Sequence
                       sep: str = "|", header: bool = True) -> list[str]:
     """Write ``cols`` of ``df`` to ``<out_dir>/<name>`` for each value of
     ``name_col`` (which may contain sub-folders).  Returns the written paths."""
-    spark = df.sparkSession
     staging = f"{out_dir.rstrip('/')}/_staging"
     (df.select(*[F.col(c).cast("string") for c in cols], name_col)
        .repartition(name_col)
        .write.mode("overwrite").option("sep", sep).option("header", header)
        .option("compression", "none").option("maxRecordsPerFile", 0).partitionBy(name_col).csv(staging))
+    return _named(df, staging, out_dir, name_col)
+
+
+def write_named_lines(df: DataFrame, out_dir: str, name_col: str, line_col: str) -> list[str]:
+    """The same for lines of text that are ready, such as JSON."""
+    staging = f"{out_dir.rstrip('/')}/_staging"
+    (df.select(line_col, name_col).repartition(name_col)
+       .write.mode("overwrite").option("compression", "none").option("maxRecordsPerFile", 0).partitionBy(name_col).text(staging))
+    return _named(df, staging, out_dir, name_col)
+
+
+def _named(df: DataFrame, staging: str, out_dir: str, name_col: str) -> list[str]:
+    """Move each name's only part file to its place."""
+    spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     root = Path(staging)

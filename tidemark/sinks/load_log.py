@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sinks.partitions import partition_dir
+from tidemark.sinks.partitions import partition_dir, replace_partitions
 from tidemark.sinks.swap import replace_folder
 
 LOG_SCHEMA = "path string, length bigint, table_name string, run string"
@@ -29,6 +29,11 @@ class LoadLog:
         folder = partition_dir(self.root, "table_name", table)
         replace_folder(files.select("path", F.col("length").cast("bigint").alias("length")), partition_dir(folder, "run", run))
 
+    def record_runs(self, files: DataFrame) -> None:
+        """``files``: path, length, table_name, run; every run among them replaces its entry, in one job."""
+        replace_partitions(files.select("path", F.col("length").cast("bigint").alias("length"), "table_name", "run"),
+                           self.root, ["table_name", "run"])
+
     def entries(self) -> DataFrame:
         """path, length, table_name, run; a file that several runs took is listed by each."""
         try:
