@@ -98,6 +98,19 @@ def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
+def only_keys(df: DataFrame, key: str, wanted: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in the one column of ``wanted``, if that has at most ``max_rows``
+    distinct values (counted exactly, up to the bound); otherwise ``df`` unchanged.
+
+    For a reduction of a large history before a rank, where a join on the key
+    follows anyway: the broadcast semi-join runs inside the scan's stage.
+    """
+    ids = wanted.select(F.col(wanted.columns[0]).alias("_wanted")).where("_wanted is not null").distinct()
+    if ids.limit(max_rows + 1).count() > max_rows:
+        return df
+    return df.join(F.broadcast(ids), df[key] == ids["_wanted"], "left_semi")
+
+
 def full_outer(left: DataFrame, right: DataFrame, cond) -> DataFrame:
     """Full outer join (both sides keep unmatched rows)."""
     return left.join(right, cond, "full")

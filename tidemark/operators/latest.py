@@ -39,6 +39,28 @@ def latest_per_key(df: DataFrame, keys: Sequence[ColumnLike], order: Sequence[Co
               .drop(rank_col))
 
 
+def advance_latest(snapshot: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                   restated: DataFrame | None = None, history: DataFrame | None = None) -> DataFrame:
+    """R1-R6 from the snapshot before: yesterday's rank 1 rows and the rows that
+    have become visible since, instead of the whole history.
+
+    Both have the columns of the base table, and ``order`` is total, so rank 1
+    of the union is rank 1 of the history: a row that once lost to a row still
+    there cannot win later.  Late rows are part of ``delta`` whatever their own
+    dates.  Where past rows have been replaced or taken back that argument does
+    not hold: ``restated`` holds the keys of such rows (of the old and the new
+    version), and these keys are ranked anew from ``history``, all rows visible
+    now.  Only they are shuffled from it.
+    """
+    base = snapshot.unionByName(delta)
+    if restated is not None:
+        changed = restated.select(*[F.col(k).alias(f"_changed{i}") for i, k in enumerate(keys)]).distinct()
+        same = lambda df: [df[k].eqNullSafe(F.col(f"_changed{i}")) for i, k in enumerate(keys)]
+        base = base.join(changed, same(base), "left_anti") \
+            .unionByName(history.join(changed, same(history), "left_semi"))
+    return latest_per_key(base, keys, order)
+
+
 def latest_after_distinct(df: DataFrame, keys: Sequence[ColumnLike],
                           order: Sequence[Column]) -> DataFrame:
     """R8 (with A4): ``SELECT DISTINCT *`` then rank.

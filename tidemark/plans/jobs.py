@@ -15,6 +15,7 @@ of the same day replaces, never duplicates.
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,12 @@ MODELS: dict[str, tuple[Callable[..., DataFrame], dict]] = {
     "product_master_snapshot": (M.product_master_snapshot, {}),
     "product_warehouse_snapshot": (M.product_warehouse_snapshot, {}),
     "productwarehouse_product_detail": (M.productwarehouse_product_detail, {}),
+    "data_vs_ctrl": (M.data_vs_ctrl, {}),                     # M1, with brand=
+    "product_detail": (M.product_detail, {}),                 # M14, with detail_cols=
+    "product_detail_by_createon": (M.product_detail, {"master_date_col": "createon"}),
+    "dim_product_attribute": (M.dim_product_attribute, {}),   # M16-M18 take no cut-off
+    "dim_product_attribute_v2": (M.dim_product_attribute_v2, {}),
+    "fact_transport_daily": (M.fact_transport_daily, {}),
 }
 
 
@@ -113,14 +120,22 @@ def control_load(spark: SparkSession, paths: str | Sequence[str], ingest_date: d
     return replace_partition(read_control_jda(spark, paths), table_path, "_partition_date", ingest_date)
 
 
-def mart_run(model: str, inputs: Mapping[str, DataFrame], cutoff: dt.date, table_path: str) -> str:
+def run_model(model: str, inputs: Mapping[str, DataFrame], cutoff: dt.date, **arguments) -> DataFrame:
+    """The rows of a configured model; ``arguments`` are those it needs besides
+    its inputs (the brand of M1, the columns of M14).  A model without a cut-off
+    describes its inputs as they are on the day of the run."""
+    fn, fixed = MODELS[model]
+    wants_cutoff = {"cutoff": cutoff} if "cutoff" in inspect.signature(fn).parameters else {}
+    return fn(inputs, **wants_cutoff, **fixed, **arguments)
+
+
+def mart_run(model: str, inputs: Mapping[str, DataFrame], cutoff: dt.date, table_path: str, **arguments) -> str:
     """One model for one cut-off, replacing the cut-off's partition.
 
     The output table is partitioned by run (``_partition_date`` = cut-off);
     rows keep their own ``report_date``.  A downstream model reads one run
     with ``_partition_date = cutoff`` (as M15 reads M13's output)."""
-    fn, kwargs = MODELS[model]
-    return replace_partition(fn(inputs, cutoff, **kwargs), table_path, "_partition_date", cutoff)
+    return replace_partition(run_model(model, inputs, cutoff, **arguments), table_path, "_partition_date", cutoff)
 
 
 def parse_backfill_config(rows: Sequence[tuple[str, int, int]]) -> list[tuple[str, int, int]]:

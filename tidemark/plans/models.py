@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import temporal as tf
 from tidemark.functions.casts import float_to_int64
 from tidemark.operators.aggregates import count_by, group_distinct, group_max
-from tidemark.operators.joins import prefixed
+from tidemark.operators.joins import only_keys, prefixed
 from tidemark.operators.latest import flag_latest, latest_per_key
+from tidemark.operators.migrate import backfill_latest
 from tidemark.operators.quality import control_vs_data
 from tidemark.operators.unions import aligned, union_all
 
@@ -133,6 +134,18 @@ PW_OUTPUT = ("amt", "pid", "onpw", "onrd", "onrt", "unit", "whid", "onpic", "onp
              "updatebyname", "report_date", "run_date")
 
 
+def _pw_output(ranked: DataFrame) -> list[Column]:
+    cols = []
+    for c in PW_OUTPUT:
+        if c in PW_INT_COLS:
+            cols.append(_to_int64(ranked, c).alias(c))
+        elif c in ("createon", "updateon", "lastrcvdate"):
+            cols.append(tf.truncate_to_second(c).alias(c))
+        else:
+            cols.append(F.col(c))
+    return cols
+
+
 def product_warehouse_snapshot(inputs: Inputs, cutoff: dt.date,
                                first_run: dt.date = dt.date(2022, 3, 10)) -> DataFrame:
     """Rows of a run-date window, latest per (PID, StoreID, WHID) by
@@ -143,15 +156,7 @@ def product_warehouse_snapshot(inputs: Inputs, cutoff: dt.date,
           .filter((F.col("run_date") >= F.lit(first_run)) & (F.col("report_date") <= F.lit(cutoff))))
     order = _desc("updateon") + _tiebreak(df, ["pid", "storeid", "whid", "updateon"])
     ranked = latest_per_key(df, ["pid", "storeid", "whid"], order)
-    cols = []
-    for c in PW_OUTPUT:
-        if c in PW_INT_COLS:
-            cols.append(_to_int64(ranked, c).alias(c))
-        elif c in ("createon", "updateon", "lastrcvdate"):
-            cols.append(tf.truncate_to_second(c).alias(c))
-        else:
-            cols.append(F.col(c))
-    return ranked.select(*cols)
+    return ranked.select(*_pw_output(ranked))
 
 
 # --------------------------------------------------------- M14-M15 ---------
@@ -160,10 +165,8 @@ PRODUCT_ATTRS = ("PIDOD", "DEPT_ID", "SUBDEPT_ID", "CLASS", "SUB_CLASS", "CATEGO
                  "SUB_CATEGORY_ID", "BRAND_ID", "SUPPLIER_ID")
 
 
-def latest_product_info(inputs: Inputs, cutoff: dt.date, master_date_col: str = "updateon") -> DataFrame:
-    """U1 + R1: product history UNION ALL the current master, newest TRANS_DATE
-    per PID.  The rank comes before any join, so each map task sends at most
-    one row per PID."""
+def product_base(inputs: Inputs, cutoff: dt.date, master_date_col: str = "updateon") -> DataFrame:
+    """Product history UNION ALL the current master, up to the cut-off."""
     hist = inputs["product_history"].filter(F.col("TRANS_DATE") <= F.lit(cutoff))
     history = aligned(hist, {
         "PID": "PID", "PIDOD": F.col("PIdOD").cast("string"),
@@ -178,7 +181,18 @@ def latest_product_info(inputs: Inputs, cutoff: dt.date, master_date_col: str =
         "SUB_CLASS": F.col("sub_cls").cast("string"), "CATEGORY_ID": "catid",
         "SUB_CATEGORY_ID": "subcatid", "BRAND_ID": "brandid", "SUPPLIER_ID": "lastsupplierid",
         "TRANS_DATE": F.to_date(master_date_col)})
-    base = union_all([history, current.select(*history.columns)])
+    return union_all([history, current.select(*history.columns)])
+
+
+def latest_product_info(inputs: Inputs, cutoff: dt.date, master_date_col: str = "updateon",
+                        pids: DataFrame | None = None) -> DataFrame:
+    """U1 + R1: product history UNION ALL the current master, newest TRANS_DATE
+    per PID.  The rank comes before any join, so each map task sends at most
+    one row per PID; with ``pids`` (one column) only those products are ranked,
+    as long as their number is proven small enough to be broadcast."""
+    base = product_base(inputs, cutoff, master_date_col)
+    if pids is not None:
+        base = only_keys(base, "PID", pids)
     order = [F.col("TRANS_DATE").desc()] + [F.col(c).desc() for c in PRODUCT_ATTRS]
     return latest_per_key(base, ["PID"], order)
 
@@ -198,7 +212,7 @@ def product_detail(inputs: Inputs, cutoff: dt.date, detail_cols: Sequence[str],
     detail = (det.filter(F.to_date(detail_date_col) == F.lit(cutoff))
               .select(*[F.col(c) for c in detail_cols if c != detail_date_col],
                       F.to_date(detail_date_col).alias(detail_date_col)))
-    return _enrich(detail, latest_product_info(inputs, cutoff, master_date_col))
+    return _enrich(detail, latest_product_info(inputs, cutoff, master_date_col, detail.select("pid")))
 
 
 def month_end_of_ym(c: str) -> Column:
@@ -221,7 +235,7 @@ def productwarehouse_product_detail(inputs: Inputs, cutoff: dt.date) -> DataFram
         F.col("pid").alias("PID"), F.col("storeid").alias("StoreID"), F.col("whid").alias("WHID"),
         "file_date")
     detail = union_all([snap, month_end]).withColumnRenamed("PID", "pid")
-    return _enrich(detail, latest_product_info(inputs, cutoff, "updateon"))
+    return _enrich(detail, latest_product_info(inputs, cutoff, "updateon"))  # a warehouse holds most products
 
 
 # --------------------------------------------------------- M16-M17 ---------
@@ -370,6 +384,56 @@ def fact_transport_daily(inputs: Inputs) -> DataFrame:
     return out.distinct()
 
 
+# ------------------------------------------------- many cut-offs at once ---
+
+def _at_cutoffs(df: DataFrame, keys: Sequence[str], visible: Column, order: Sequence[str],
+                cutoffs: Sequence[dt.date], drop: Sequence[str] = ()) -> DataFrame:
+    """Rank 1 per key at every cut-off, as ``cutoff`` and the rows' columns.
+
+    Ties go to the largest other columns, as in the one-day models."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    out = backfill_latest(df.withColumn("__visible", visible), keys, "__visible", [*order, *rest], cutoffs)
+    return out.select("cutoff", *(c for c in df.columns if c not in drop))
+
+
+def accounting_stock_balance_at(inputs: Inputs, cutoffs: Sequence[dt.date], cut: str = "partition") -> DataFrame:
+    """M2-M4 at every cut-off, in one pass over the history."""
+    visible = {"partition": F.col(PART), "parsed": tf.parse_yymmdd("INTRND"),
+               "compact": _compact_date("INTRND", cutoffs)}[cut]
+    return _at_cutoffs(inputs["acstk"], ["INSTOR", "INSKU"], visible, ["INTRND", PART], cutoffs, [PART])
+
+
+def _compact_date(c: str, cutoffs: Sequence[dt.date]) -> Column:
+    """M4 compares integers: the first cut-off whose yymmdd is not below the column."""
+    first = F.lit(None).cast("date")
+    for day in sorted(cutoffs, reverse=True):
+        first = F.when(F.col(c) <= F.lit(tf.yymmdd_int_literal(day)), F.lit(day)).otherwise(first)
+    return first
+
+
+def product_warehouse_snapshot_at(inputs: Inputs, cutoffs: Sequence[dt.date], first_run: dt.date = dt.date(2022, 3, 10)) -> DataFrame:
+    """M13 at every cut-off, in one pass over the history."""
+    df = inputs["productwarehouse"].filter(F.col("run_date") >= F.lit(first_run))
+    ranked = _at_cutoffs(df, ["pid", "storeid", "whid"], F.col("report_date"), ["updateon"], cutoffs)
+    return ranked.select("cutoff", *_pw_output(ranked))
+
+
+def product_detail_at(inputs: Inputs, cutoffs: Sequence[dt.date], detail_cols: Sequence[str],
+                      detail_date_col: str = "createon", master_date_col: str = "updateon") -> DataFrame:
+    """M14 at every cut-off: each day's detail rows with the product as it was
+    known on that day.  Each product is ranked once for all cut-offs, and only
+    those that the days' details name, if they are few enough."""
+    days = [F.lit(c) for c in cutoffs]
+    detail = (inputs["detail"].filter(F.to_date(detail_date_col).isin(days))
+              .select(F.to_date(detail_date_col).alias("cutoff"), *[F.col(c) for c in detail_cols if c != detail_date_col],
+                      F.to_date(detail_date_col).alias(detail_date_col)))
+    base = only_keys(product_base(inputs, max(cutoffs), master_date_col), "PID", detail.select("pid"))
+    known = backfill_latest(base, ["PID"], "TRANS_DATE", ["TRANS_DATE", *PRODUCT_ATTRS], cutoffs)
+    known = known.select(F.col("cutoff").alias("_dim_day"), F.col("PID").alias("_dim_pid"), *PRODUCT_ATTRS)
+    return (detail.join(known, (detail["pid"] == known["_dim_pid"]) & (detail["cutoff"] == known["_dim_day"]), "left")
+                  .select(*[detail[c] for c in detail.columns], *PRODUCT_ATTRS))
+
+
 # ------------------------------------------------------------ backfill -----
 
 def backfill(model: Callable[..., DataFrame], inputs: Inputs, run_date: dt.date, start: int,

@@ -9,6 +9,7 @@ are prepared beside it and exchanged afterwards (``swap.py``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sinks.swap import replace_folder
+from tidemark.sinks.swap import SWAP, exchange_folder, remove, replace_folder
 
 
 def partition_dir(table_path: str, part_col: str, value) -> str:
@@ -51,6 +52,27 @@ def replace_partitions(df: DataFrame, table_path: str, part_cols: Sequence[str])
        .partitionBy(*part_cols).parquet(table_path))
 
 
+def replace_listed_partitions(df: DataFrame, table_path: str, part_col: str, values: Sequence) -> list[str]:
+    """Replace the partitions of all ``values`` by the rows of ``df``, written in one job.
+
+    Unlike a dynamic overwrite, a value without rows gets an empty partition
+    (T12).  Rows of other values are an error of the caller and are not written.
+    The job commits before the first partition is exchanged.
+    """
+    spark = df.sparkSession
+    staged = f"{table_path.rstrip('/')}/{SWAP}/listed-{uuid.uuid4().hex}"
+    kept = df.filter(F.col(part_col).isin([F.lit(v) for v in values]))
+    kept.hint("rebalance", part_col).write.partitionBy(part_col).parquet(staged)
+    rows = spark.read.schema(df.drop(part_col).schema)
+    targets = []
+    for value in values:
+        target = partition_dir(table_path, part_col, value)
+        exchange_folder(spark, partition_dir(staged, part_col, value), target, lambda path: rows.parquet(staged).limit(0).write.parquet(path))
+        targets.append(target)
+    remove(spark, staged)
+    return targets
+
+
 def reload_window_days(df: DataFrame, date_col: str, run_date: dt.date, offsets: Sequence[int],
                        table_path: str, part_col: str = "report_date") -> list[dt.date]:
     """Reload the days ``run_date - offset`` from ``df``, each replacing its partition.

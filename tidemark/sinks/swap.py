@@ -100,3 +100,19 @@ def replace_folder(df: DataFrame, target: str, write: Callable[[DataFrame, str],
         _fs(spark, work).delete(_path(spark, work), True)
         raise
     _exchange(spark, work, target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
+def exchange_folder(spark: SparkSession, prepared: str, target: str, write_empty: Callable[[str], None]) -> None:
+    """``target`` becomes the committed folder ``prepared``, or if there is none what ``write_empty`` writes."""
+    recover(spark, target)
+    fs, work = _fs(spark, target), f"{swap_folder(target)}/{uuid.uuid4().hex}"
+    if fs.exists(_path(spark, prepared)):
+        _rename(spark, fs, prepared, f"{work}/new")
+        fs.create(_path(spark, f"{work}/new/_SUCCESS"), True).close()  # its job has committed: recovery goes forward
+    else:
+        write_empty(f"{work}/new")
+    _exchange(spark, work, target)
