@@ -2,6 +2,7 @@
 
 E1  ``daily_landing_load``   landing JSON-lines -> typed day partition
     ``daily_manifest_load``  the same for the files that a listing has for a day
+    ``quarantined_load``     the same with a rejects table and a limit for it
     ``hourly_landing_load``  the files whose epoch falls into an hour -> hour partition
     ``delimited_load``       ``|``-delimited feed -> ingestion-date partition
 E2  ``mart_run``             one model for one cut-off -> its day partition
@@ -25,9 +26,11 @@ from tidemark.operators.typed import (Field, add_audit_columns, enforce_required
                                       normalise_dictionary, table_fields, typed_projection)
 from tidemark.plans import models as M
 from tidemark.sinks.load_log import LoadLog
-from tidemark.sinks.partitions import replace_partition
+from tidemark.sinks.partitions import partition_dir, replace_partition
+from tidemark.sinks.swap import replace_folder
 from tidemark.sources.files import read_control_jda, read_delimited, read_envelope_jsonl
 from tidemark.sources.manifest import files_for_day, files_for_hour, nonempty_files
+from tidemark.sources.quarantine import REJECT_SCHEMA, split_lines
 
 # name -> (model function, keyword arguments); the 42 SQL models map onto these.
 MODELS: dict[str, tuple[Callable[..., DataFrame], dict]] = {
@@ -92,6 +95,30 @@ def daily_manifest_load(spark: SparkSession, manifest: DataFrame, table: str, fi
     return "load"
 
 
+class TooManyRejects(RuntimeError):
+    """A load was given up; the table is as it was, the rejects are written."""
+
+
+def quarantined_load(spark: SparkSession, landing: str | Sequence[str], fields: Sequence[Field], report_date: dt.date,
+                     run_date: dt.date, table_path: str, rejects_path: str, most_rejects: float = 0.01) -> int:
+    """E1 with a rejects table (T5): lines that cannot be loaded go to its
+    ``report_date`` partition with file and reasons, the others replace the day.
+    If more than the share ``most_rejects`` of the lines is rejected, the load
+    fails before the day is exchanged.  Returns the number of rejects."""
+    rows, rejects = split_lines(spark, landing, fields)
+    rejected = spark.read.schema(REJECT_SCHEMA).parquet(replace_partition(rejects, rejects_path, "report_date", report_date)).count()
+    audited = add_audit_columns(rows, report_date, run_date).drop("report_date")
+
+    def write(df: DataFrame, path: str) -> None:
+        df.write.parquet(path)
+        loaded = spark.read.schema(df.schema).parquet(path).count()
+        if rejected > most_rejects * (rejected + loaded):
+            raise TooManyRejects(f"{rejected} of {rejected + loaded} lines of {report_date} were rejected")
+
+    replace_folder(audited, partition_dir(table_path, "report_date", report_date), write)
+    return rejected
+
+
 def hourly_landing_load(spark: SparkSession, manifest: DataFrame, table: str, fields: Sequence[Field], hour: dt.datetime,
                         run_time: dt.datetime, table_path: str, log: LoadLog) -> str:
     """X1 as one scheduled run: the files whose epoch (UTC) falls into the hour

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog import Tables
 from tidemark.functions import temporal as tf
 from tidemark.operators.quality import empty_files, unprocessed_files
-from tidemark.plans.jobs import daily_manifest_load
+from tidemark.plans.jobs import daily_manifest_load, quarantined_load
 from tidemark.plans.loads import envelope, fields_of, iso_text
 from tidemark.plans.registry import query
 from tidemark.session import shared_dir
@@ -134,3 +134,31 @@ def daily_landing_runs(spark, sf_dir):
     rows = loaded.groupBy(F.col("event_type").alias("table_name"), F.col("report_date").alias("file_date")) \
         .agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 2).alias("total_value"))
     return out.join(rows, keys, "left")
+
+
+@query("quarantine_load", ("T5", "S5", "D3", "D7"), oracle="""
+WITH e AS (SELECT *, CASE event_id % 100 WHEN 1 THEN 'malformed' WHEN 2 THEN 'user_id: not INT64' WHEN 3 THEN 'ts: required'
+                     WHEN 4 THEN 'ts: not DATETIME,value: not FLOAT64' ELSE '' END AS reasons FROM events)
+SELECT event_type, reasons, COUNT(*) AS n_rows, round(SUM(CASE WHEN reasons = '' THEN value END), 2) AS total_value
+FROM (SELECT CASE WHEN reasons = '' THEN event_type END AS event_type, reasons, value FROM e) GROUP BY 1, 2
+""")
+def quarantine_load(spark, sf_dir):
+    """Four of a hundred landed lines are bad in one way or another: they end
+    in the rejects table, the other rows in the day's partition."""
+    ev = Tables(spark, sf_dir).events
+    root = shared_dir(spark, "quarantine")
+    bad = F.col("event_id") % 100
+    ts = F.when(bad == 3, F.lit(None)).when(bad == 4, F.lit("yesterday")).otherwise(iso_text("ts", 6))
+    payload = {"event_id": F.col("event_id").cast("string"), "ts": ts, "event_type": "event_type",
+               "user_id": F.when(bad == 2, F.lit("1e")).otherwise(F.col("user_id").cast("string")),
+               "value": F.when(bad == 4, F.lit("1,5")).otherwise(F.col("value").cast("string"))}
+    lines = envelope(ev, "event_id", payload, keep=["event_id"])
+    cut = F.when(bad == 1, F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))
+    lines.select(cut.alias("value")).write.text(f"{root}/landing")
+    day = dt.date(2024, 1, 31)
+    quarantined_load(spark, f"{root}/landing", fields_of(spark, "events"), day, day, f"{root}/table", f"{root}/rejects", 0.1)
+    loaded = spark.read.parquet(f"{root}/table").groupBy("event_type", F.lit("").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 2).alias("total_value"))
+    rejects = spark.read.parquet(f"{root}/rejects").groupBy(F.array_join("reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return loaded.unionByName(rejects.select(F.lit(None).cast("string").alias("event_type"), "reasons", "n_rows",
+                                             F.lit(None).cast("double").alias("total_value")))
