@@ -84,7 +84,10 @@ def _shared(keys: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, pos, line)`` of the lines to remove; see :func:`dedup_lines`."""
+    """``(doc_id, pos, h1, h2)`` of the lines to remove, once per row that has them; see :func:`dedup_lines`.
+
+    Nothing above the last join asks for its order, so a very common line is split.
+    """
     size = F.length("line").cast("long")
     near = F.when(F.col("size") >= MIN_NEAR_CHARS, _halves(F.col("line"), F.col("size")))
     unique = written(_lines(docs).withColumn("size", F.length("line")).select("doc_id", "pos", "h1", "h2", near.alias("keys"))
@@ -129,7 +132,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     acts = written(acts, "line-acts")
     places = thinned(_lines(docs).select("doc_id", "pos", "h1", "h2"), "h1", acts, "h1")
     later = (F.col("doc_id") > F.col("id.doc_id")) | ((F.col("doc_id") == F.col("id.doc_id")) & (F.col("pos") > F.col("id.pos")))
-    return places.join(acts, ["h1", "h2"]).where(F.col("near") | later).select("doc_id", "pos", "h1", "h2").distinct()
+    return places.join(acts, ["h1", "h2"]).where(F.col("near") | later).select("doc_id", "pos", "h1", "h2")
 
 
 def dedup_lines(docs: DataFrame, removed_col: str | None = None) -> DataFrame:
@@ -147,7 +150,7 @@ def dedup_lines(docs: DataFrame, removed_col: str | None = None) -> DataFrame:
     lines at equal places stay in both; an empty table gives no rows.
     """
     gone = repeated_lines(docs.select("doc_id", "text")) \
-        .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.xxhash64("pos", "h1", "h2")).alias("__gone"))
+        .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set(F.xxhash64("pos", "h1", "h2")).alias("__gone"))
     joined = docs.join(gone, docs["doc_id"] == gone["__doc"], "left")
     line = F.transform(F.split(docs["text"], "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
 
