@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sinks.swap import SWAP, exchange_folder, remove, replace_folder
+from tidemark.sinks.swap import SWAP, exchange_folder, finish_moves, remove, replace_folder
 
 
 def partition_dir(table_path: str, part_col: str, value) -> str:
@@ -127,6 +127,7 @@ def relayout_year_month(df: DataFrame, date_col: str, table_path: str,
     out = (df.withColumn("year", F.year(date_col))
              .withColumn("yyyymm", F.date_format(date_col, "yyyyMM")))
     spark = df.sparkSession
+    finish_moves(spark, table_path)
     try:
         own = spark.read.option("mergeSchema", True).parquet(table_path).drop("year", "yyyymm").schema
     except AnalysisException as e:  # no table yet, or one without files

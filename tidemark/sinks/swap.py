@@ -14,12 +14,15 @@ missing, never half of it.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 SWAP = "_swap"
+#: Where exchanges of single files are prepared and journalled, under the table.
+MOVES = "_moves"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -56,8 +59,10 @@ def recover(spark: SparkSession, target: str) -> bool:
     """Finish what a dead writer of ``target`` left: True if the target was missing and has been put back.
 
     A committed new folder takes the place, otherwise the old rows return.
-    Unfinished writes are removed.
+    Unfinished writes are removed.  Exchanges of files in the target's table
+    that have been journalled are finished first.
     """
+    finish_moves(spark, table_of(target))
     fs, folder = _fs(spark, target), swap_folder(target)
     if not fs.exists(_path(spark, folder)):
         return False
@@ -89,6 +94,49 @@ def recover_table(spark: SparkSession, table_path: str) -> list[str]:
     return restored
 
 
+def table_of(target: str) -> str:
+    """The table that a partition folder belongs to; a table itself is its own."""
+    path = target.rstrip("/")
+    while "=" in path.rpartition("/")[2]:
+        path = path.rpartition("/")[0]
+    return path
+
+
+def journal_moves(spark: SparkSession, work: str, old: list[str], new: list[tuple[str, str]]) -> None:
+    """Commit an exchange of files: ``old`` ones go, ``new`` ones (from, to) come.
+
+    The journal is a folder that Spark commits; from then on the exchange is
+    finished by whoever comes next, see :func:`finish_moves`.
+    """
+    lines = [(json.dumps({"old": p}),) for p in old] + [(json.dumps({"new": list(m)}),) for m in new]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{work}/journal")
+
+
+def finish_moves(spark: SparkSession, table_path: str) -> int:
+    """Finish the journalled file exchanges of a table, drop the others; the number finished.
+
+    Old files go first: a reader may find rows missing until the end, never
+    twice.  Every step can be repeated.
+    """
+    folder = f"{table_path.rstrip('/')}/{MOVES}"
+    fs, done = _fs(spark, folder), 0
+    if not fs.exists(_path(spark, folder)):
+        return 0
+    for status in fs.listStatus(_path(spark, folder)):
+        work = status.getPath().toString()
+        if fs.exists(_path(spark, f"{work}/journal/_SUCCESS")):
+            steps = [json.loads(r.value) for r in spark.read.text(f"{work}/journal").toLocalIterator()]
+            for step in steps:
+                if "old" in step:
+                    fs.delete(_path(spark, step["old"]), False)
+            for source, target in (step["new"] for step in steps if "new" in step):
+                if fs.exists(_path(spark, source)):
+                    _rename(spark, fs, source, target)
+            done += 1
+        fs.delete(_path(spark, work), True)
+    return done
+
+
 def replace_folder(df: DataFrame, target: str, write: Callable[[DataFrame, str], None] | None = None) -> None:
     """``target`` gets the rows of ``df``, which may be read from it."""
     spark = df.sparkSession
