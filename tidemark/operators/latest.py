@@ -84,13 +84,16 @@ def latest_with_eod(df: DataFrame, keys: Sequence[ColumnLike], part_col: str,
 
 
 def flag_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
-                flag_col: str, yes: str = "Yes", no: str = "No") -> DataFrame:
+                flag_col: str, yes: str = "Yes", no: str = "No", total: bool = False) -> DataFrame:
     """Keep *every* row and flag the newest row of each key.
 
     ``order_desc`` is the newest-first ordering; rows that tie on it are ordered
     by all their other columns (largest first, nulls last), so one row per key
     is flagged unless whole rows are equal: equal rows share their flag.
-    Columns without an order (maps) are left out.  Instead of a full window
+    Columns without an order (maps) are left out.  ``total`` says that
+    ``order_desc`` cannot tie within a key (it ends in a unique id): then only the
+    order columns are aggregated and shuffled, otherwise whole rows, one per key
+    and map task.  Instead of a full window
     (which would sort a hot key's rows in one task), the winner of each key is
     found with ``max(struct(order))`` -- a partial/final aggregate that sends at
     most one row per key and map task -- and joined back on the key.  The join
@@ -98,7 +101,7 @@ def flag_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
     """
     rest = [f.name for f in df.schema.fields if f.name not in {*keys, *order_desc}
             and "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
-    ordered = F.struct(*[F.col(f"`{c}`") for c in [*order_desc, *rest]])
+    ordered = F.struct(*[F.col(f"`{c}`") for c in [*order_desc, *([] if total else rest)]])
     renamed = [f"_k{i}" for i in range(len(keys))]
     winners = (df.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
                  .agg(F.max(ordered).alias("_win")))

@@ -62,8 +62,12 @@ def env_row_compare(dev: DataFrame, prod: DataFrame, dev_date: Column,
 
     ``diff``/``dup`` are NULL where a date exists on one side only.
     """
-    d = count_by(dev, [dev_date.alias("date_dev")], "count_dev")
-    p = count_by(prod, [prod_date.alias("date_prod")], "count_prod")
+    return compare_counts(count_by(dev, [dev_date.alias("date_dev")], "count_dev"),
+                          count_by(prod, [prod_date.alias("date_prod")], "count_prod"))
+
+
+def compare_counts(d: DataFrame, p: DataFrame) -> DataFrame:
+    """Q2 on counts: ``(date_dev, count_dev)`` against ``(date_prod, count_prod)``."""
     j = full_outer(d, p, d["date_dev"] == p["date_prod"])
     return (j.select("date_dev", "count_dev", "date_prod", "count_prod",
                      (F.col("count_dev") - F.col("count_prod")).alias("diff"),

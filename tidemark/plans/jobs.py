@@ -8,6 +8,7 @@ E1  ``daily_landing_load``   landing JSON-lines -> typed day partition
 E2  ``mart_run``             one model for one cut-off -> its day partition
     ``mart_backfill``        a model over configured offsets (G6), ``#`` entries skipped
 E3  ``control_load``         control files -> control table partition
+E5  ``comparison_run``       rows per partition of two environments -> table and CSV
 
 Each job is a single Spark plan ending in a partition replacement, so a rerun
 of the same day replaces, never duplicates.
@@ -22,11 +23,13 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import footer_counts
+from tidemark.operators.quality import compare_counts
 from tidemark.operators.typed import (Field, add_audit_columns, enforce_required, map_types,
                                       normalise_dictionary, table_fields, typed_projection)
 from tidemark.plans import models as M
 from tidemark.sinks.load_log import LoadLog
-from tidemark.sinks.partitions import partition_dir, replace_partition
+from tidemark.sinks.partitions import export_csv, partition_dir, replace_partition, replace_table
 from tidemark.sinks.swap import replace_folder
 from tidemark.sources.files import read_control_jda, read_delimited, read_envelope_jsonl
 from tidemark.sources.manifest import files_for_day, files_for_hour, nonempty_files
@@ -184,3 +187,17 @@ def mart_backfill(config: Sequence[tuple[str, int, int]], inputs: Mapping[str, M
         done[model] = cutoffs
     return done
 
+
+
+def comparison_run(spark: SparkSession, dev_path: str, prod_path: str, part_col: str, table_path: str, csv_path: str,
+                   from_date: dt.date | None = None) -> DataFrame:
+    """Q2 as a run: rows per partition of a table in two environments, counted
+    from file footers, replace the comparison table and its CSV export.  The
+    export is written from the table, so the two agree."""
+    since = None if from_date is None else F.col(part_col) >= F.lit(from_date)
+    sides = [footer_counts(spark, path, [part_col], f"count_{env}", since).withColumnRenamed(part_col, f"date_{env}")
+             for env, path in (("dev", dev_path), ("prod", prod_path))]
+    replace_table(compare_counts(*sides), table_path)
+    report = spark.read.parquet(table_path)
+    export_csv(report, csv_path)
+    return report

@@ -3,13 +3,18 @@ counts by date (Q3/Q4), wildcard table sets (S11)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog import Tables
 from tidemark.operators.aggregates import count_by
 from tidemark.operators.quality import control_vs_data, count_by_date, env_row_compare
 from tidemark.operators.unions import aligned, table_set, union_all
+from tidemark.plans.jobs import comparison_run
 from tidemark.plans.registry import query
+from tidemark.session import shared_dir
+from tidemark.sinks.partitions import replace_partitions
 
 
 def control_file_rows(t: Tables):
@@ -91,6 +96,27 @@ def env_row_compare_query(spark, sf_dir):
     return env_row_compare(dev, prod, F.to_date("o_orderdate"), F.to_date("o_orderdate"))
 
 
+@query("comparison_run", ("Q2", "Q3", "A1", "J10", "K5", "K7", "P4"), oracle="""
+SELECT *, count_dev - count_prod AS diff, count_dev / count_prod AS dup
+FROM (SELECT CAST(ts AS DATE) AS date_dev, COUNT(*) AS count_dev
+      FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-05' AND event_id % 10 <> 0 GROUP BY 1) d
+FULL OUTER JOIN
+     (SELECT CAST(ts AS DATE) AS date_prod, COUNT(*) AS count_prod
+      FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1) p
+ON date_prod = date_dev
+""")
+def comparison_run_query(spark, sf_dir):
+    """Events landed by day in two environments, of which one lacks rows and the
+    other days; counted from file footers, and read back from the CSV."""
+    ev = Tables(spark, sf_dir).events.withColumn("report_date", F.to_date("ts"))
+    root = shared_dir(spark, "comparison")
+    replace_partitions(ev.where("event_id % 10 <> 0"), f"{root}/dev", ["report_date"])
+    replace_partitions(ev.where(F.col("report_date") <= F.lit(dt.date(2024, 1, 20))), f"{root}/prod", ["report_date"])
+    comparison_run(spark, f"{root}/dev", f"{root}/prod", "report_date", f"{root}/table", f"{root}/csv", dt.date(2024, 1, 5))
+    return (spark.read.option("header", True)
+            .schema("date_dev date, count_dev bigint, date_prod date, count_prod bigint, diff bigint, dup double").csv(f"{root}/csv"))
+
+
 @query("count_by_date", ("Q3", "Q4", "A1", "A6", "O1"), oracle="""
 SELECT CAST(l_shipdate AS DATE) AS partition_date, COUNT(*) AS row_count
 FROM lineitem GROUP BY 1 ORDER BY 1

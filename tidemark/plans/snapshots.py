@@ -134,7 +134,7 @@ FROM events
 """)
 def last_action_flag(spark, sf_dir):
     ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type")
-    return flag_latest(ev, ["user_id"], ["ts", "event_id"], "ISLastAction")
+    return flag_latest(ev, ["user_id"], ["ts", "event_id"], "ISLastAction", total=True)  # event_id is unique
 
 
 @query("distinct_then_latest", ("A4", "R8", "P7", "M13", "T1", "CAST"), oracle="""
