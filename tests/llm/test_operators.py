@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import ann, decontaminate, langid, licenses, line_dedup, mixing, pii, token_counts, warc
 
@@ -144,6 +145,68 @@ def test_licenses(docs_of):
     assert [m[:2] for m in got[15]] == [(0, 3), (3, 6)] and got[1] == got[2] == got[4] == []
 
 
+def template_regex(markup):
+    """A template as an expression over words that each end in a blank."""
+    out = []
+    for token in markup.replace("[[", " [[ ").replace("]]", " ]] ").split():
+        if token == "[[":
+            out.append("(?:")
+        elif token == "]]":
+            out.append(")?")
+        elif token.startswith("{{"):
+            out.append(r"(?:\S+ ){0,%s}" % token[2:-2])
+        else:
+            out.append("(?:" + "|".join(re.escape(w) for w in token.split("|")) + ") ")
+    return re.compile("".join(out))
+
+
+def filled(r, markup):
+    """A text that a template accepts: optional regions kept or not, replaceable ones filled."""
+    text = markup
+    while "[[" in text:
+        text = re.sub(r"\[\[([^\[\]]*)\]\]", lambda m: m[1] if r.random() < 0.5 else " ", text)
+    words = []
+    for token in text.split():
+        if token.startswith("{{"):
+            words += [r.choice(["the", "ACME", "authors", "Ünï"]) for _ in range(r.randint(0, int(token[2:-2])))]
+        else:
+            words.append(r.choice(token.split("|")))
+    return words
+
+
+def test_licenses_by_brute_force(docs_of):
+    r = random.Random(12)
+    expressions = [template_regex(t.markup) for t in licenses.TEMPLATES]
+    rows = []
+    for i in range(90):
+        t = licenses.TEMPLATES[i % len(licenses.TEMPLATES)]
+        words = ["x"] * r.randint(0, 3) + filled(r, t.markup) + ["y"]
+        if i % 3 == 2:  # one word changed, left out or added
+            at = r.randrange(len(words))
+            words[at:at + 1] = r.choice([[], ["other"], [words[at], "more"]])
+        rows.append((i, r.choice([" ", ", ", "\n"]).join(w.upper() if r.random() < 0.2 else w for w in words)))
+    got = {x.doc_id: [(m.first, m.end, m.label, m.whole) for m in x.matches] for x in licenses.scan_licenses(docs_of(rows)).collect()}
+    n_whole = 0
+    for i, text in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+        want = []
+        for t, expression in zip(licenses.TEMPLATES, expressions):
+            for at in range(len(words)):
+                joined = "".join(w + " " for w in words[at:])
+                if expression.match(joined):
+                    end = next(e for e in range(at + 1, len(words) + 1) if expression.fullmatch("".join(w + " " for w in words[at:e])))
+                    want.append((at, end, t.label, t.whole))
+        assert sorted(got[i]) == sorted(want), text
+        n_whole += any(w[3] for w in want)
+    assert n_whole > 20
+
+
+def test_covered_words_count_once(spark):
+    schema = "m array<struct<first:int,end:int>>"
+    rows = [([(0, 4), (2, 6), (3, 5), (8, 9)],), ([],), ([(5, 7), (7, 8)],)]
+    assert [x[0] for x in spark.createDataFrame(rows, schema).select(licenses.covered_words(F.col("m"))).collect()] == [7, 0, 3]
+
+
 # --- archives ---
 
 @pytest.mark.parametrize("fan_in, ranges, block", [(2, 3, 2), (64, None, 2000)])
@@ -169,6 +232,18 @@ def test_archives(spark, fan_in, ranges, block):
     assert warc.capture_history(none).collect() == []
 
 
+def test_archives_of_one_payload(spark):
+    """One payload on most pages, pages that repeat whole or with another payload."""
+    html = "<p>" + "not found " * 20
+    rows = [(i, f"http://x.org/{i}", html) for i in range(400)] + [(7, "http://x.org/7", html)] * 3 + [(7, "http://x.org/7", "é" * 200)]
+    rows += [(500, "http://y.org", "é" * 200), (None, "http://z.org", html)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [(x.page_id, x.record_type, x.refers_to) for x in warc.capture_history(pages, fan_in=4).collect()]
+    want = [(i, "response" if i in (0, None) or h != html and i == 7 else "revisit",
+             None if i in (0, None) or h != html and i == 7 else 0 if h == html else 7) for i, _, h in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_loser_tree_merges():
     r = random.Random(6)
     for k in range(1, 9):

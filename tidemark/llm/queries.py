@@ -58,13 +58,14 @@ def op5_license_scan(spark, sf_dir):
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     base = F.filter("matches", lambda m: m["base"])
     labels = lambda ms: F.array_join(F.array_sort(F.array_distinct(F.transform(ms, lambda m: m["label"]))), ",")
-    covered = F.aggregate("matches", F.lit(0), lambda n, m: n + m["end"] - m["first"])
+    covered = licenses.covered_words(F.col("matches"))
     return found.select(
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
         F.array_min(F.transform(base, lambda m: m["first"])).cast("long").alias("first_word"),
         F.array_max(F.transform(base, lambda m: m["first"])).cast("long").alias("last_word"),
         labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
-        F.when(F.col("n_words") > 0, F.least(F.lit(1.0), covered / F.col("n_words"))).otherwise(0.0).alias("score"))
+        F.when(F.col("n_words") > 0, covered / F.col("n_words")).otherwise(0.0).alias("score"),
+        labels(F.filter("matches", lambda m: m["whole"])).alias("whole_texts"))
 
 
 @query
