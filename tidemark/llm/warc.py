@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import written
+from tidemark.llm.scratch import thinned, written
 from tidemark.session import shared_dir
 
 MIN_REVISIT_BYTES = 100
@@ -73,13 +73,18 @@ def timestamp(page_id: int | None) -> str:
 
 
 def revisits(pages: DataFrame) -> DataFrame:
-    """``(page_id, digest, refers_to)`` of pages whose payload a smaller page_id has too."""
+    """``(page_id, digest, refers_to)`` of pages whose payload a smaller page_id has too, once each.
+
+    Repeated rows go before the join, so nothing above it asks for its order and
+    a payload that very many pages share is split.
+    """
     digests = written(pages.where("page_id is not null")
                       .select("page_id", F.octet_length(_payload()).alias("bytes"), F.sha2(_payload(), 256).alias("digest")),
                       "warc-digests").where(F.col("bytes") >= MIN_REVISIT_BYTES)
     first = digests.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")) \
         .where("refers_to < last").select("digest", "refers_to")
-    return digests.join(first, "digest").where("page_id > refers_to").select("page_id", "digest", "refers_to").distinct()
+    pages_of = thinned(digests, "digest", first, "digest").select("page_id", "digest").distinct()
+    return pages_of.join(first, "digest").where("page_id > refers_to").select("page_id", "digest", "refers_to")
 
 
 def _payload():
