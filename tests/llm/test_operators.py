@@ -106,6 +106,94 @@ def test_contexts_discover_identifiers(docs_of):
     assert got[50] == (0, ["hidden99887@localhost"]) and got[51] == (0, []) and got[3] == (1, ["user3@mail.org"])
 
 
+def test_identifiers_beside_base_spans(docs_of):
+    """A base span is no part of the instance beside it, whichever comes first."""
+    rows = [(i, f"write to reach me: user{i}@mail.org now") for i in range(8)]
+    rows += [(i, f"pay by card or call: user{i}@mail.org agent{i}0000@intern") for i in range(20, 28)]
+    rows += [(i, f"and cc: {i}@a.org user{i}@mail.org") for i in range(30, 38)]
+    rows += [(50, "and cc: joe1@mail.org hidden99887@localhost"), (51, "joe1@mail.org 5551234567 elsewhere")]
+    got = {x.doc_id: (len(x.base), pii_text(dict(rows)[x.doc_id], x.spans)) for x in pii.find_personal_data(docs_of(rows)).collect()}
+    assert got[50] == (1, ["joe1@mail.org", "hidden99887@localhost"])
+    assert got[51] == (1, ["joe1@mail.org"])
+
+
+def brute_added(rows):
+    """The bootstrap in plain Python; one list of (start, kind, end) per row."""
+    candidate = re.compile(r"(?<!\S)[^\s0-9@]*[0-9@]\S*(?: [^\s0-9@]*[0-9]\S*)*")
+    found, graph = [], {}
+    for text in rows:
+        text, at, out = text or "", 0, []
+        base = base_spans(text)
+        for m in candidate.finditer(text):
+            before = text[at:m.start()][-64:]
+            at, pieces, pos = m.end(), [], m.start()
+            over = [(max(s, m.start()), k, min(e, m.end())) for s, k, e in base if s < m.end() and e > m.start()]
+            for s, k, e in over:
+                pieces += [(pos, max(pos, s), None), (max(pos, s), max(pos, e), k)]
+                pos = max(pos, e)
+            for s, e, k in [*pieces, (pos, m.end(), None)]:
+                context = (before + text[m.start():s])[-64:]
+                if k is None:
+                    while s < e and text[s] in " \t\n\r\f\v\"'<[{(,;":
+                        s += 1
+                    while s < e and text[e - 1] in " \t\n\r\f\v.,;:!?\"')>]}":
+                        e -= 1
+                if s >= e:
+                    continue
+                words = ["<id>" if re.search("[0-9@]", w) else w for w in context.lower().split()]
+                shape = re.sub("[A-Za-z]+", "a", re.sub("[0-9]", "0", text[s:e]))
+                patterns = ([f"words {words[-2]} {words[-1]}"] if len(words) > 1 else []) + ([f"shape {words[-1]} {shape}"] if words else [])
+                out.append((s, e, k, patterns))
+                for p in patterns:
+                    graph.setdefault(p, {}).setdefault(text[s:e], set()).update([] if k is None else [k])
+        found.append((text, out))
+    seeds = {(t, k): 1.0 for tokens in graph.values() for t, kinds in tokens.items() for k in kinds}
+    known, size = dict(seeds), 0
+    while True:
+        accepted = {}
+        for p, tokens in graph.items():
+            for k in range(4):
+                scores = [known[t, k] for t in tokens if (t, k) in known]
+                if len(scores) >= 3 and sum(scores) / len(tokens) >= 0.75:
+                    accepted[p, k] = sum(scores) / len(tokens)
+        if len(accepted) == size:
+            break
+        size, known = len(accepted), dict(seeds)
+        for (p, k), c in accepted.items():
+            for t in graph[p]:
+                known[t, k] = max(known.get((t, k), 0), c)
+    added = []
+    for text, out in found:
+        spans = []
+        for s, e, k, patterns in out:
+            if k is None and ("@" in text[s:e] or len(re.sub("[^0-9]", "", text[s:e])) >= 5):
+                best = sorted((-c, kind) for (p, kind), c in accepted.items() if p in patterns)
+                spans += [(s, best[0][1], e)] if best else []
+        added.append(spans)
+    return added
+
+
+def test_bootstrap_by_brute_force(docs_of):
+    r = random.Random(21)
+    contexts = ["reach me:", "call us on", "host at", "paid with card", "and also", "or"]
+    things = [lambda: f"user{r.randint(1, 200)}@mail.org", lambda: f"agent{r.randint(10000, 10003)}@intern", lambda: f"+1 555 {r.randint(1000000, 1000200)}",
+              lambda: f"0{r.randint(555000, 555003)}9", lambda: f"10.0.0.{r.randint(1, 200)}", lambda: "4111 1111 1111 1111",
+              lambda: f"10.0.0.{r.randint(300, 303)}", lambda: "99", lambda: "word"]
+    likely = [[0, 0, 0, 1], [2, 2, 2, 3], [4, 4, 4, 6], [5, 3], [0, 1, 2, 8], [7, 8, 0]]
+    rows = []
+    for i in range(400):
+        parts = []
+        for _ in range(r.randint(1, 4)):
+            c = r.randrange(len(contexts))
+            parts += [contexts[c], *(things[r.choice(likely[c])]() for _ in range(r.choice([1, 1, 1, 2, 3])))]
+        rows.append((i, r.choice([" ", ", "]).join(parts)))
+    rows += [(900, None), (901, ""), (902, "9" * 3000)]
+    want = {i: spans for (i, _), spans in zip(rows, brute_added([t for _, t in rows]))}
+    got = {x.doc_id: sorted({tuple(s) for s in x.spans} - {tuple(s) for s in x.base}) for x in pii.find_personal_data(docs_of(rows)).collect()}
+    assert got == {i: sorted(s) for i, s in want.items()}
+    assert sum(map(bool, want.values())) > 20
+
+
 def pii_text(text, spans):
     return [text[s.start:s.end] for s in spans]
 

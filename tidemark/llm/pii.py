@@ -2,11 +2,14 @@
 
 Base spans come from four fixed patterns.  They seed a bootstrap: identifier-like
 tokens (with digits or an ``@``) are instances, the words before them and their
-shape are lexical patterns.  Spark scores the graph of patterns and instances in
-rounds: a pattern's confidence for a kind is the mean score of its distinct
-instances (those seen as base spans score 1), an instance's score is that of its
-best accepted pattern.  Accepted patterns then mark instances that no base
-pattern knows.
+shape are lexical patterns.  Base spans are cut out of such tokens first and are
+instances of their kind; what is left beside them are instances of their own.
+Spark scores the graph of patterns and instances in rounds: a pattern's
+confidence for a kind is the mean score of its distinct instances (those seen as
+base spans score 1), an instance's score is that of its best accepted pattern.
+Confidences only rise, so the accepted patterns only grow; the rounds end with
+the first that accepts no more.  Accepted patterns then mark instances that no
+base pattern knows.
 """
 
 from __future__ import annotations
@@ -39,7 +42,9 @@ CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [^\s0-9@]*+[0-9]\S*+)*+"
 #: Characters of the text before a candidate in which its context words are looked for.
 CONTEXT_CHARS = 64
 #: An accepted pattern has this confidence and as many distinct known instances at least.
-CONFIDENCE, SUPPORT, ROUNDS = 0.75, 3, 3
+CONFIDENCE, SUPPORT = 0.75, 3
+#: Stands for an identifier among context words.
+MARK = "<id>"
 #: Digits of a discovered identifier without @, at least.
 LEAST_DIGITS = 5
 
@@ -101,43 +106,76 @@ def _found(docs: DataFrame) -> DataFrame:
                        located(F.col("text"), CANDIDATE, F.col("hit_any")).alias("candidates"))
 
 
+def _pieces() -> Column:
+    """A candidate cut at the base spans over it: array of (start, end, token, before, kind).
+
+    ``start`` and ``end`` count from the candidate's start.  Base spans have
+    their kind, what lies between them has none; of overlapping base spans the
+    later one begins where the one before ends.
+    """
+    size = F.length("text").cast("long")
+    clip = lambda at: F.least(F.greatest(at - F.col("start"), F.lit(0).cast("long")), size)
+    over = F.transform(F.filter("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))), lambda s: F.struct(
+        clip(s["start"]).alias("from"), clip(s["end"]).alias("to"), s["kind"].alias("kind")))
+    none = F.lit(None).cast("int")
+    cut = F.aggregate(
+        over, F.struct(F.lit(0).cast("long").alias("at"), F.slice(over, 1, 0).alias("out")),
+        lambda acc, s: F.struct(F.greatest(acc["at"], s["to"]).alias("at"), F.concat(acc["out"], F.array(
+            F.struct(acc["at"].alias("from"), F.greatest(acc["at"], s["from"]).alias("to"), none.alias("kind")),
+            F.struct(F.greatest(acc["at"], s["from"]).alias("from"), F.greatest(acc["at"], s["to"]).alias("to"),
+                     s["kind"].alias("kind")))).alias("out")),
+        lambda acc: F.concat(acc["out"], F.array(F.struct(acc["at"].alias("from"), F.greatest(acc["at"], size).alias("to"), none.alias("kind")))))
+    return F.transform(F.filter(cut, lambda s: s["from"] < s["to"]), lambda s: F.struct(
+        (F.col("start") + s["from"]).alias("start"), (F.col("start") + s["to"]).alias("end"), s["kind"].alias("kind"),
+        F.substr("text", (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")).alias("token"),
+        F.right(F.concat("before", F.substr("text", F.lit(1), s["from"].cast("int"))), F.lit(CONTEXT_CHARS)).alias("before")))
+
+
 def _candidates(found: DataFrame) -> DataFrame:
-    """Identifier-like tokens with their kind, if a base span lies over them, and their patterns."""
+    """Identifier-like tokens with their kind, if they are base spans, and their patterns."""
     rows = found.select("row", "base", F.inline("candidates"))
-    head = F.length(F.regexp_extract("text", r"^[\"'<\[{]*", 0))
-    tail = F.length(F.regexp_extract("text", r"[.,;:!?\"')>\]}]*$", 0))
+    whole = F.array(F.struct("start", "end", F.lit(None).cast("int").alias("kind"), F.col("text").alias("token"), "before"))
+    crossed = F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    rows = rows.select("row", F.inline(F.when(crossed, _pieces()).otherwise(whole)))
+    free = F.col("kind").isNull()  # base spans stay as they are
+    head = F.when(free, F.length(F.regexp_extract("token", r"^[\s\"'<\[{(,;]*", 0))).otherwise(0)
+    tail = F.when(free, F.length(F.regexp_extract("token", r"[\s.,;:!?\"')>\]}]*$", 0))).otherwise(0)
     rows = rows.withColumns({"start": F.col("start") + head, "end": F.col("end") - tail,
-                             "token": F.substr("text", head + 1, F.length("text") - head - tail)}).where("start < end")
-    over = F.filter("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    words = F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != "")
+                             "token": F.substr("token", head + 1, F.length("token") - head - tail)}).where("start < end")
+    words = F.transform(F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != ""),
+                        lambda w: F.when(w.rlike("[0-9@]"), F.lit(MARK)).otherwise(w))
     n = F.size(words)
     shape = F.regexp_replace(F.regexp_replace("token", "[0-9]", "0"), "[A-Za-z]+", "a")
     two = F.when(n >= 2, F.concat(F.lit("words "), F.element_at(words, -2), F.lit(" "), F.element_at(words, -1)))
     one = F.when(n >= 1, F.concat(F.lit("shape "), F.element_at(words, -1), F.lit(" "), shape))
-    return rows.select(
-        "row", "start", "end", "token", F.when(F.size(over) > 0, F.element_at(over, 1)["kind"]).alias("kind"),
-        F.filter(F.array(two, one), lambda p: p.isNotNull()).alias("patterns"))
+    return rows.select("row", "start", "end", "token", "kind", F.filter(F.array(two, one), lambda p: p.isNotNull()).alias("patterns"))
 
 
 def _accepted(candidates: DataFrame) -> DataFrame:
-    """``(pattern, kind, confidence)`` of the accepted patterns."""
-    edges = written(candidates.select("token", "kind", F.explode("patterns").alias("pattern"))
-                    .groupBy("pattern", "token").agg(F.max("kind").alias("kind")), "pii-graph")
-    seeds = edges.where("kind is not null").groupBy("token", "kind").agg(F.lit(1.0).alias("score"))
+    """``(pattern, kind, confidence)`` of the accepted patterns.
+
+    A token may be a base span of several kinds at different places and seeds
+    each of them; a pattern's instances are its distinct tokens.
+    """
+    seen = written(candidates.select("token", "kind", F.explode("patterns").alias("pattern"))
+                   .groupBy("pattern", "token").agg(F.collect_set("kind").alias("kinds")), "pii-graph")
+    edges = seen.select("pattern", "token")
+    seeds = seen.select("token", F.explode("kinds").alias("kind")).distinct().withColumn("score", F.lit(1.0))
     degree = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
-    known = seeds
-    accepted = None
-    for _ in range(ROUNDS):
-        scored = (edges.select("pattern", "token").join(known, "token").groupBy("pattern", "kind")
+    known, before = seeds, 0
+    while True:
+        scored = (edges.join(known, "token").groupBy("pattern", "kind")
                   .agg(F.sum("score").alias("total"), F.count(F.lit(1)).alias("support")).join(degree, "pattern")
                   .select("pattern", "kind", (F.col("total") / F.col("instances")).alias("confidence"), "support")
                   .where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT)))
         accepted = written(scored, "pii-patterns")
+        count = accepted.count()
+        if count == before:
+            return accepted.select("pattern", "kind", "confidence")
+        before = count
         # instances of accepted patterns are known in the next round, at their best pattern's confidence
-        told = edges.select("pattern", "token").join(accepted, "pattern").groupBy("token", "kind") \
-            .agg(F.max("confidence").alias("score"))
+        told = edges.join(accepted, "pattern").groupBy("token", "kind").agg(F.max("confidence").alias("score"))
         known = seeds.unionByName(told).groupBy("token", "kind").agg(F.max("score").alias("score"))
-    return accepted.select("pattern", "kind", "confidence")
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
