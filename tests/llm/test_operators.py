@@ -35,8 +35,8 @@ def brute_hits(text, items, window=13):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block_words", [1_000_000, 12])
-def test_decontamination(spark, docs_of, block_words):
+@pytest.mark.parametrize("block_words, pass_blocks", [(1_000_000, 4), (12, 3), (12, 100)])
+def test_decontamination(spark, docs_of, block_words, pass_blocks):
     r = random.Random(1)
     vocabulary = ["a", "b", "É1", "d2"]
     items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.choice([1, 2, 5, 9])))) for i in range(12)]
@@ -45,11 +45,26 @@ def test_decontamination(spark, docs_of, block_words):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     items = [x for x in items if x[0] is not None and len((x[1] or "").split()) > 1 or x[0] in (90, 91)]
     benchmark = benchmark.where("text like '% %' or text is null or text = '...'")
-    got = decontaminate.match_benchmark(docs_of(rows), benchmark, 4, block_words).collect()
+    got = decontaminate.match_benchmark(docs_of(rows), benchmark, 4, block_words, pass_blocks).collect()
     seen = sorted((x.doc_id or -1, x.n_words, sum(s.end - s.start for s in x.spans), list(x.item_ids)) for x in got)
     assert seen == sorted((i or -1, *brute_hits(t, items, 4)) for i, t in rows)
 
 
+def test_no_benchmark(spark, docs_of):
+    none = spark.createDataFrame([(1, None), (None, "a b"), (2, "...")], "item_id long, text string")
+    for benchmark in (none, none.where("false")):
+        got = decontaminate.match_benchmark(docs_of([(1, "a b c"), (2, None)]), benchmark).collect()
+        assert sorted((x.doc_id, x.n_words, len(x.spans), len(x.item_ids)) for x in got) == [(1, 3, 0, 0), (2, 0, 0, 0)]
+
+
+def test_automata_are_small():
+    """Built and held within what the module states, for a block of unlike words and one of repeated ones."""
+    r = random.Random(8)
+    for vocabulary in (5, 10_000):
+        items = [(str(i), " ".join(f"w{r.randrange(vocabulary)}" for _ in range(40))) for i in range(500)]
+        assert len(decontaminate.build_block(items, 13)) < 110 * 40 * 500
+
+
 def test_decontaminated_texts(spark, docs_of):
     item = "one two three four five"
     rows = [(1, "clean text here"), (2, item), (3, "é " * 200 + "One, two three-four; five END"), (4, None)]

@@ -6,6 +6,7 @@ executor is lost, later stages reread files instead of recomputing the scan.
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,11 @@ from tidemark.session import shared_dir
 COARSE_KEYS = 1 << 20
 
 
+def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store of a folder as tasks see it, and the folder's path there."""
+    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again."""
     spark: SparkSession = df.sparkSession

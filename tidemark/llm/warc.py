@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import thinned, written
+from tidemark.llm.scratch import filesystem, thinned, written
 from tidemark.session import shared_dir
 
 MIN_REVISIT_BYTES = 100
@@ -50,10 +50,6 @@ ARCHIVE_BYTES = 1 << 28
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
 
 
-def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 def url_key(url: str | None) -> str:
     """Sort-friendly form: host labels reversed, then path and query; scheme, ``www.``, port, case and fragment do not count."""
     try:
@@ -124,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         .join(plan, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _filesystem(folder)
+        store, root = filesystem(folder)
         store.create_dir(root, recursive=True)
         out = name = None
         records = size = 0
@@ -177,7 +173,7 @@ class RunWriter:
     """A sorted run: blocks of compressed index lines, then the table of their first keys and places."""
 
     def __init__(self, folder: str, block_lines: int):
-        self.store, root = _filesystem(folder)
+        self.store, root = filesystem(folder)
         self.path, self.block_lines = f"{root}/{uuid.uuid4().hex}.run", block_lines
         self.out = self.store.open_output_stream(self.path, compression=None)
         self.table: list[tuple[list, int, int]] = []
@@ -217,7 +213,7 @@ def _table(store: fs.FileSystem, path: str) -> list[tuple[list, int, int]]:
 
 def read_run(folder: str, name: str, low: list | None, high: list | None) -> Iterator[list]:
     """Entries of a run with low <= key < high, a block at a time."""
-    store, root = _filesystem(folder)
+    store, root = filesystem(folder)
     table = _table(store, f"{root}/{name}")
     keys = [k for k, _, _ in table]
     start = max(bisect_left(keys, low) - 1, 0) if low else 0
@@ -280,7 +276,7 @@ def index_runs(manifest: DataFrame, folder: str, block_lines: int = BLOCK_LINES)
     payloads, are held while sorting.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _filesystem(folder)
+        store, root = filesystem(folder)
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 entries = []
