@@ -236,3 +236,15 @@ def test_named_files_have_one_part_whatever_the_record_limit(spark, tmp_shared):
         spark.conf.set(key, before)
     assert len(written) == 1
     assert src.read_delimited(spark, f"{tmp_shared}/named/*.TXT", "id string").count() == 25
+
+
+def test_history_month_dealt_over_files_is_read_whole(spark, tmp_shared):  # S14
+    from tidemark.sinks.files import with_dealt_names, write_named_files
+
+    rows = spark.range(1000).withColumn("month", F.when(F.col("id") < 900, "2024/202401/h_202401").otherwise("2023/202312/h_202312"))
+    named = with_dealt_names(rows, "file_name", F.col("month"), ".TXT", 100)
+    files = write_named_files(named, f"{tmp_shared}/dealt", "file_name", ["id"])
+    by_month = [sum("202401" in f for f in files), sum("202312" in f for f in files)]
+    assert 5 <= by_month[0] <= 9 and by_month[1] == 1
+    read = lambda years: sorted(int(r.id) for r in src.read_monthly_history(spark, f"{tmp_shared}/dealt", years, "id string").collect())
+    assert read([2023, 2024]) == list(range(1000)) and read(2023) == list(range(900, 1000))

@@ -30,13 +30,15 @@ from tidemark.sinks.partitions import (append, export_csv, relayout_year_month,
                                        replace_table)
 from tidemark.sources.files import (JDA_CONTROL_SCHEMA, POS_CONTROL_SCHEMA, dated_rows, infer_envelope_fields,
                                     read_control_jda, read_control_pos, read_delimited,
-                                    read_envelope_jsonl)
+                                    read_envelope_jsonl, read_monthly_history)
 from tidemark.sources.manifest import discover_tables, list_files
 from tidemark.operators.unions import union_all
-from tidemark.sinks.files import write_named_files
+from tidemark.sinks.files import with_dealt_names, write_named_files
 
 REPORT_DATE = dt.date(2024, 1, 31)
 RUN_DATE = dt.date(2024, 2, 1)
+#: Rows of a rendered monthly history file, about.
+HISTORY_ROWS_PER_FILE = 1_000_000
 
 # Data dictionaries of the stand-in sources, as a source team would supply them
 # (mixed case, padded spellings, every IS_NULLABLE form).
@@ -404,16 +406,15 @@ def append_history(spark, sf_dir):
                      iso_text("l_shipdate", 0).alias("l_shipdate"),
                      F.date_format("l_shipdate", "yyyy").alias("yyyy"),
                      F.date_format("l_shipdate", "yyyyMM").alias("yyyymm"))
-    write_named_files(text.withColumn("file_name", F.concat(
-        F.col("yyyy"), F.lit("/"), F.col("yyyymm"), F.lit("/history_"), F.col("yyyymm"), F.lit(".TXT"))),
-        f"{root}/monthly", "file_name", ["l_orderkey", "l_extendedprice", "l_shipdate"], sep="|")
+    month = F.concat(F.col("yyyy"), F.lit("/"), F.col("yyyymm"), F.lit("/history_"), F.col("yyyymm"))
+    write_named_files(with_dealt_names(text, "file_name", month, ".TXT", HISTORY_ROWS_PER_FILE),
+                      f"{root}/monthly", "file_name", ["l_orderkey", "l_extendedprice", "l_shipdate"], sep="|")
     schema = "l_orderkey string, l_extendedprice string, l_shipdate string"
     years = sorted(int(p.rsplit("/", 1)[-1]) for p in _subdirs(spark, f"{root}/monthly"))
     for first, last in ((years[0], years[len(years) // 2]), (years[len(years) // 2] + 1, years[-1])):
         if first > last:
             continue
-        globs = [f"{root}/monthly/{y}/*/*.TXT" for y in range(first, last + 1)]
-        batch = read_delimited(spark, globs, schema)
+        batch = read_monthly_history(spark, f"{root}/monthly", [y for y in years if first <= y <= last], schema)
         append(batch.select(F.col("l_orderkey").cast("bigint"),
                             F.col("l_extendedprice").cast("double"),
                             tf.parse_iso_utc("l_shipdate").alias("l_shipdate")), f"{root}/table")

@@ -75,7 +75,7 @@ WITH src AS (
 """
 
 
-@query("model_stock_balance_shifted", ("M8", "M7", "P5", "R2"), oracle=_EXTRACT_CTE.format(
+@query("model_stock_balance_shifted", ("M8", "P5", "R2"), oracle=_EXTRACT_CTE.format(
     store="XSTORE", sku="XSKU", eod="EODDAT", qty="XQTY", ord="XORD", line="XLINE") + """
 SELECT * EXCLUDE (rnk, _partition_date) FROM (
   SELECT *, row_number() OVER (PARTITION BY XSTORE, XSKU ORDER BY EODDAT DESC, _partition_date DESC,
@@ -90,7 +90,22 @@ def model_stock_balance_shifted(spark, sf_dir):
     return M.stock_balance({"stk": stk}, CUTOFF, shifted=True)
 
 
-@query("model_sku_snapshot", ("M5", "M6", "P4", "R1"), oracle=_EXTRACT_CTE.format(
+@query("model_stock_balance_plain", ("M7", "P4", "R2"), oracle=_EXTRACT_CTE.format(
+    store="XSTORE", sku="XSKU", eod="EODDAT", qty="XQTY", ord="XORD", line="XLINE") + """
+SELECT * EXCLUDE (rnk, _partition_date) FROM (
+  SELECT *, row_number() OVER (PARTITION BY XSTORE, XSKU ORDER BY EODDAT DESC, _partition_date DESC,
+            XQTY DESC, XORD DESC, XLINE DESC) AS rnk
+  FROM src WHERE _partition_date <= DATE '1998-06-30') t
+WHERE rnk = 1
+""")
+def model_stock_balance_plain(spark, sf_dir):
+    stk = _stock_extract(Tables(spark, sf_dir), {"store": "XSTORE", "sku": "XSKU", "eod": "EODDAT",
+                                              "part": "_partition_date", "qty": "XQTY",
+                                              "ord": "XORD", "line": "XLINE"})
+    return M.stock_balance({"stk": stk}, CUTOFF)
+
+
+@query("model_sku_snapshot", ("M5", "P4", "R1"), oracle=_EXTRACT_CTE.format(
     store="ISUPP", sku="INUMBR", eod="EODDAT", qty="IQTY", ord="IORD", line="ILINE") + """
 SELECT * EXCLUDE (rnk, _partition_date) FROM (
   SELECT *, row_number() OVER (PARTITION BY INUMBR ORDER BY EODDAT DESC, _partition_date DESC,
@@ -105,6 +120,21 @@ def model_sku_snapshot(spark, sf_dir):
     return M.sku_snapshot({"sku": sku}, CUTOFF)
 
 
+@query("model_sku_snapshot_shifted", ("M6", "P5", "R1"), oracle=_EXTRACT_CTE.format(
+    store="ISUPP", sku="INUMBR", eod="EODDAT", qty="IQTY", ord="IORD", line="ILINE") + """
+SELECT * EXCLUDE (rnk, _partition_date) FROM (
+  SELECT *, row_number() OVER (PARTITION BY INUMBR ORDER BY EODDAT DESC, _partition_date DESC,
+            ISUPP DESC, IQTY DESC, IORD DESC, ILINE DESC) AS rnk
+  FROM src WHERE CAST(_partition_date - INTERVAL 1 DAY AS DATE) <= DATE '1998-06-30') t
+WHERE rnk = 1
+""")
+def model_sku_snapshot_shifted(spark, sf_dir):
+    sku = _stock_extract(Tables(spark, sf_dir), {"store": "ISUPP", "sku": "INUMBR", "eod": "EODDAT",
+                                              "part": "_partition_date", "qty": "IQTY",
+                                              "ord": "IORD", "line": "ILINE"})
+    return M.sku_snapshot({"sku": sku}, CUTOFF, shifted=True)
+
+
 @query("model_replenishment", ("M9", "R5", "P5"), oracle=_EXTRACT_CTE.format(
     store="ISTORE", sku="INUMBR", eod="IEOD", qty="IQTY", ord="IORD", line="ILINE") + """
 SELECT * EXCLUDE (rnk, _partition_date) FROM (
@@ -185,7 +215,7 @@ def _product_inputs(t: Tables):
     return {"product_history": hist, "productmaster": master, "detail": detail}
 
 
-@query("model_product_detail", ("M14", "U1", "R1", "P6", "J1", "P3"), oracle="""
+_PRODUCT_DETAIL_SQL = """
 WITH product_base AS (
   SELECT p_partkey AS PID, CAST(p_size AS VARCHAR) AS PIDOD, CAST(p_size AS VARCHAR) AS DEPT_ID,
          CAST(p_size AS VARCHAR) AS SUBDEPT_ID, CAST(p_size AS VARCHAR) AS CLASS,
@@ -194,8 +224,8 @@ WITH product_base AS (
   FROM part
   UNION ALL
   SELECT l_partkey, CAST(l_linenumber AS VARCHAR), l_returnflag, l_linestatus, l_returnflag,
-         l_linestatus, 'CAT', 'SUB', 'BR', CAST(l_suppkey AS VARCHAR), CAST(l_shipdate AS DATE)
-  FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '1998-06-30'),
+         l_linestatus, 'CAT', 'SUB', 'BR', CAST(l_suppkey AS VARCHAR), {master_date}
+  FROM lineitem WHERE {master_date} <= DATE '1998-06-30'),
 latest AS (
   SELECT * EXCLUDE (rnk) FROM (
     SELECT *, row_number() OVER (PARTITION BY PID ORDER BY TRANS_DATE DESC, PIDOD DESC,
@@ -208,12 +238,25 @@ t AS (SELECT l_orderkey AS RDNo, l_linenumber AS Seqno, l_partkey AS pid,
 SELECT t.*, p.PIDOD, p.DEPT_ID, p.SUBDEPT_ID, p.CLASS, p.SUB_CLASS, p.CATEGORY_ID,
        p.SUB_CATEGORY_ID, p.BRAND_ID, p.SUPPLIER_ID
 FROM t LEFT JOIN latest p ON p.PID = t.pid
-""")
+"""
+
+
+@query("model_product_detail", ("M14", "U1", "R1", "P6", "J1", "P3"),
+       oracle=_PRODUCT_DETAIL_SQL.format(master_date="CAST(l_shipdate AS DATE)"))
 def model_product_detail(spark, sf_dir):
     return M.product_detail(_product_inputs(Tables(spark, sf_dir)), CUTOFF,
                             ["RDNo", "Seqno", "pid", "createon"])
 
 
+@query("model_product_detail_createon", ("M14", "U1", "R1"),
+       oracle=_PRODUCT_DETAIL_SQL.format(master_date="CAST(CAST(l_shipdate AS DATE) + INTERVAL 40 DAY AS DATE)"))
+def model_product_detail_createon(spark, sf_dir):
+    """The variant whose product master is dated by ``createon``, here 40 days after ``updateon``."""
+    inputs = _product_inputs(Tables(spark, sf_dir))
+    inputs["productmaster"] = inputs["productmaster"].withColumn("createon", F.date_add(F.to_date("updateon"), 40))
+    return M.product_detail(inputs, CUTOFF, ["RDNo", "Seqno", "pid", "createon"], master_date_col="createon")
+
+
 def _dim_inputs(t: Tables):
     sku = F.col("p_partkey").cast("string")
     skucodes = t.part.select(sku.alias("sku_id"), F.col("p_name").alias("code"),

@@ -12,10 +12,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_dealt_names(df: DataFrame, name_col: str, stem: Column, suffix: str, rows_per_file: int) -> DataFrame:
+    """``df`` with file names ``<stem>_<n><suffix>`` that deal each stem's rows over files of
+    about ``rows_per_file`` rows, for :func:`write_named_files`, whose tasks take a name each.
+
+    Rows are dealt by the hash of all their columns, so a rerun deals alike;
+    equal rows meet in one file.
+    """
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_parts"))
+    files = df.groupBy(stem.alias("_stem")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_parts"))
+    return (df.withColumn("_stem", stem).join(files, "_stem")
+            .withColumn(name_col, F.concat("_stem", F.lit("_"), dealt.cast("string"), F.lit(suffix)))
+            .drop("_stem", "_parts"))
+
+
 def write_named_files(df: DataFrame, out_dir: str, name_col: str, cols: Sequence[str],
                       sep: str = "|", header: bool = True) -> list[str]:
     """Write ``cols`` of ``df`` to ``<out_dir>/<name>`` for each value of

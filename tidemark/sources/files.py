@@ -97,8 +97,9 @@ def _warehouse_name(t: T.DataType) -> str:
     return "STRING"
 
 
-def read_monthly_history(spark: SparkSession, root: str, year: int, schema,
+def read_monthly_history(spark: SparkSession, root: str, years: int | Sequence[int], schema,
                          null_marker: str | None = None) -> DataFrame:
-    """One read of ``<root>/<YEAR>/<YYYYMM>/*.TXT`` for a whole year
-    (instead of twelve separate loads)."""
-    return read_delimited(spark, f"{root.rstrip('/')}/{year}/*/*.TXT", schema, null_marker)
+    """One read of ``<root>/<YEAR>/<YYYYMM>/*.TXT`` for whole years
+    (instead of twelve separate loads each).  A month may be any number of files."""
+    years = [years] if isinstance(years, int) else years
+    return read_delimited(spark, [f"{root.rstrip('/')}/{y}/*/*.TXT" for y in years], schema, null_marker)
