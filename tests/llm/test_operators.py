@@ -471,6 +471,26 @@ def test_neighbours_recall_without_clusters(spark, n):
     assert same / (10 * len(asked)) >= 0.95
 
 
+def test_further_lists_are_left_out_only_if_they_hold_nothing_nearer():
+    r = np.random.default_rng(5)
+    x = r.standard_normal((60, 48))[r.integers(0, 60, 6000)] + 0.25 * r.standard_normal((6000, 48))
+    centres = ann._fit(x[:2000], 60)
+    at = ann._nearest(x, centres)
+    sizes = np.bincount(at, minlength=60)
+    radii = np.array([ann._apart(x[at == c], centres[c]).max(initial=0) for c in range(60)])
+    near = ann.probe_lists(x[:200], None, centres, sizes, radii, 10, 1.0)
+    held = [np.sort(ann._apart(x[np.isin(at, c)], x[i])) for i, c in enumerate(near)]
+    assert all(len(h) >= 500 for h in held)
+    within = np.array([h[10] for h in held])  # h[0] is the query itself
+    far = ann.probe_lists(x[:200], within, centres, sizes, radii, 10, 1.0)
+    read = 0
+    for i in range(200):
+        best = np.argsort(ann._apart(x, x[i]))[:11]
+        assert set(at[best]) <= {*near[i], *far[i]} and not {*near[i]} & {*far[i]}
+        read += sizes[[*near[i], *far[i]]].sum()
+    assert read < 0.5 * 200 * len(x)
+
+
 def test_neighbours_recall_of_the_embeddings(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = vectors.select("vec_id", "embedding").collect()

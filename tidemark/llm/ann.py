@@ -8,6 +8,11 @@ random rotation, ``d`` of ``D`` columns estimate the whole distance with a
 relative error of about ``1 / sqrt(d)``) abandons the candidates that cannot be
 among the nearest.  What is left is scored exactly on the original vectors.
 
+A query scans its nearest lists first.  The k-th distance found there is taken
+to the other lists: those that lie wholly beyond it (by the triangle
+inequality) are left out, in the others only the vectors whose distance from
+the centroid allows a nearer one are scanned, under that limit from the start.
+
 The quantiser is fitted on a bounded sample; every vector is indexed.
 """
 
@@ -29,11 +34,13 @@ LIST_VECTORS = 512
 MOST_LISTS = 4096
 #: Vectors of a block of a list, and queries of a batch, about.
 BLOCK_VECTORS, BATCH_QUERIES = 1024, 256
-#: Part of the lists that a query probes, and vectors that they hold at least, per neighbour wanted.
+#: Part of the lists that a query probes at most, and vectors that the lists scanned first hold, per neighbour wanted.
 #: In data without clusters the neighbours lie in almost all lists; the README has the recall by part.
 PROBED, LEAST_PER_NEIGHBOUR = 0.9, 50
 #: Columns per step of the scan and significance of its test.
 COLUMNS, EPSILON = 16, 2.1
+#: Relative slack of bounds by the triangle inequality.
+ROUNDING = 1e-9
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -113,45 +120,53 @@ def _dealt(rows: DataFrame, per_part: int) -> DataFrame:
     return rows.join(sizes, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
 
 
-INDEX = "list int, ids binary, rotated binary, vectors binary"
+INDEX = "list int, radii binary, ids binary, rotated binary, vectors binary"
+
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.sqrt(((x - y) ** 2).sum(1))
 
-def build_index(vectors: DataFrame, centres: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """Index blocks of every vector, and the number of vectors of each list."""
+
+def build_index(vectors: DataFrame, centres: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Index blocks of every vector, by distance from the centroid; number of vectors and radius of each list."""
     shared = vectors.sparkSession.sparkContext.broadcast(centres)  # MOST_LISTS centroids at most
     id_type = vectors.schema["vec_id"].dataType.simpleString()
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                nearest = _nearest(_matrix(b.column(1)), shared.value)
-                yield pa.RecordBatch.from_arrays([pa.array(nearest.astype(np.int32)), *b.columns], ["list", "vec_id", "v"])
+                x = _matrix(b.column(1))
+                nearest = _nearest(x, shared.value)
+                yield pa.RecordBatch.from_arrays([pa.array(nearest.astype(np.int32)), pa.array(_apart(x, shared.value[nearest])),
+                                                  *b.columns], ["list", "radius", "vec_id", "v"])
 
     def block(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("vec_id")
+        table = table.combine_chunks().sort_by("radius")
         x = _matrix(table.column("v").combine_chunks())
         turned = (x @ rotation(x.shape[1])).astype(np.float32)
         return pa.table({"list": pa.array([table.column("list")[0].as_py()], pa.int32()),
+                         "radii": pa.array([table.column("radius").to_numpy().tobytes()], pa.binary()),
                          "ids": pa.array([table.column("vec_id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
                          "rotated": pa.array([np.ascontiguousarray(turned.T).tobytes()], pa.binary()),
                          "vectors": pa.array([x.tobytes()], pa.binary())})
 
-    lists = written(vectors.mapInArrow(assign, f"list int, vec_id {id_type}, v array<double>"), "ann-lists")
-    blocks = _dealt(lists, BLOCK_VECTORS).select("list", "vec_id", "v", "part").groupBy("list", "part") \
+    lists = written(vectors.mapInArrow(assign, f"list int, radius double, vec_id {id_type}, v array<double>"), "ann-lists")
+    blocks = _dealt(lists, BLOCK_VECTORS).select("list", "radius", "vec_id", "v", "part").groupBy("list", "part") \
         .applyInArrow(block, INDEX)
-    sizes = np.zeros(len(centres), dtype=np.int64)
-    for row in lists.groupBy("list").count().toLocalIterator():
-        sizes[row["list"]] = row["count"]
-    return written(blocks, "ann-index"), sizes
+    sizes, radii = np.zeros(len(centres), dtype=np.int64), np.zeros(len(centres))
+    for row in lists.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("r")).collect():  # MOST_LISTS rows
+        sizes[row["list"]], radii[row["list"]] = row["n"], row["r"]
+    return written(blocks, "ann-index"), sizes, radii
 
 
 def scan_block(query: np.ndarray, turned: np.ndarray, ids: np.ndarray, rotated: np.ndarray, vectors: np.ndarray,
-               own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and exact distances of the k nearest rows of a block, by the adaptive scan."""
+               own: int, k: int, within: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and exact distances of the k nearest rows of a block ``within`` a distance, by the adaptive scan."""
     size = len(query)
     alive = np.flatnonzero(ids != own)
     sums = np.zeros(len(ids))
-    limit = np.inf
+    limit = within * within
+    slack = 1e-11 * (query @ query)  # rounding of the single precision columns
     for begin in range(0, size, COLUMNS):
         end = min(begin + COLUMNS, size)
         # one column block of the candidates that are left
@@ -159,16 +174,35 @@ def scan_block(query: np.ndarray, turned: np.ndarray, ids: np.ndarray, rotated:
         sums[alive] += (diff * diff).sum(0)
         if begin == 0 and len(alive) > k:  # first limit: the full distances of the most promising ones
             best = alive[np.argpartition(sums[alive], k - 1)[:k]]
-            limit = ((vectors[best] - query) ** 2).sum(1).max()
+            limit = min(limit, ((vectors[best] - query) ** 2).sum(1).max())
         if end < size and np.isfinite(limit):
             bound = limit * (1 + EPSILON / np.sqrt(end)) ** 2 * end / size
-            alive = alive[sums[alive] <= bound * (1 + 1e-5) + 1e-12]
+            alive = alive[sums[alive] <= bound * (1 + 1e-5) + slack]
     # exact distances on the original vectors; single precision only sorted out clear losers
-    exact = np.sqrt(((vectors[alive] - query) ** 2).sum(1))
+    exact = _apart(vectors[alive], query)
     order = np.lexsort((ids[alive], exact))[:k]
+    order = order[exact[order] <= within]
     return ids[alive][order], exact[order]
 
 
+def probe_lists(x: np.ndarray, within: np.ndarray | None, centres: np.ndarray, sizes: np.ndarray, radii: np.ndarray,
+                k: int, probed: float) -> list[np.ndarray]:
+    """The lists of each query: the nearest, which hold enough vectors, or, with the
+    distances ``within`` which those found k others, the further ones."""
+    full = np.flatnonzero(sizes)
+    at = np.argsort(_distances(x, centres[full]), axis=1, kind="stable")
+    first = np.minimum((np.cumsum(sizes[full][at], axis=1) < LEAST_PER_NEIGHBOUR * k).sum(1) + 1, len(full))
+    if within is None:
+        return [full[at[i, :first[i]]] for i in range(len(x))]
+    last = np.maximum(first, int(np.ceil(probed * len(full))))
+    out = []
+    for i in range(len(x)):
+        lists = full[at[i, first[i]:last[i]]]
+        away = _apart(centres[lists], x[i])
+        out.append(lists[away - radii[lists] <= within[i] + ROUNDING * (away + radii[lists])])
+    return out
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, probed: float = PROBED) -> DataFrame:
     """The k nearest of all other ``vectors`` (vec_id, embedding) for each query (a subset of them).
 
@@ -184,52 +218,61 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, prob
     n = rows.count()
     lists = min(MOST_LISTS, n // LIST_VECTORS, max(1, min(n, SAMPLE_VECTORS) // 16)) if n >= 2 * LIST_VECTORS else 1
     centres = fit_centres(rows, n, lists)
-    index, sizes = build_index(rows, centres)
-    shared = rows.sparkSession.sparkContext.broadcast((centres, sizes))  # MOST_LISTS centroids at most
+    index, sizes, radii = build_index(rows, centres)
+    shared = rows.sparkSession.sparkContext.broadcast((centres, sizes, radii))  # MOST_LISTS centroids at most
     asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
+    id_type = rows.schema["vec_id"].dataType.simpleString()
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, count = shared.value
-        full = np.flatnonzero(count)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = _matrix(b.column(1))
-            order = full[np.argsort(_distances(x, own[full]), axis=1, kind="stable")]
-            # as many lists as asked for, and more until they hold enough vectors
-            enough = (np.cumsum(count[order], axis=1) < LEAST_PER_NEIGHBOUR * k).sum(1) + 1
-            take = np.minimum(np.maximum(enough, int(np.ceil(probed * len(full)))), len(full))
-            at = np.repeat(np.arange(len(x)), take)
-            chosen = np.concatenate([order[i, :t] for i, t in enumerate(take)])
-            yield pa.RecordBatch.from_arrays([pa.array(chosen.astype(np.int32)), b.column(0).take(pa.array(at)),
-                                              b.column(1).take(pa.array(at))], ["list", "vec_id", "v"])
+    def probe(far: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    within = b.column(2).to_numpy()
+                    chosen = probe_lists(_matrix(b.column(1)), within if far else None, *shared.value, k, probed)
+                    at = pa.array(np.repeat(np.arange(b.num_rows), [len(c) for c in chosen]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(chosen).astype(np.int32)),
+                                                      *(c.take(at) for c in b.columns)], ["list", "vec_id", "v", "within"])
+        return run
 
     def batch(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         return pa.table({"list": pa.array([table.column("list")[0].as_py()], pa.int32()),
                          "query_ids": pa.array([table.column("vec_id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
-                         "queries": pa.array([_matrix(table.column("v").combine_chunks()).tobytes()], pa.binary())})
+                         "queries": pa.array([_matrix(table.column("v").combine_chunks()).tobytes()], pa.binary()),
+                         "withins": pa.array([table.column("within").to_numpy().tobytes()], pa.binary())})
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = None
         for b in batches:
-            for ids, rotated, x, query_ids, q in zip(*(b.column(c).to_pylist()
-                                                       for c in ("ids", "rotated", "vectors", "query_ids", "queries"))):
+            for at, radius, ids, rotated, x, query_ids, q, within in zip(*(b.column(c).to_pylist() for c in (
+                    "list", "radii", "ids", "rotated", "vectors", "query_ids", "queries", "withins"))):
                 ids, query_ids = np.frombuffer(ids, np.int64), np.frombuffer(query_ids, np.int64)
                 x, q = np.frombuffer(x).reshape(len(ids), -1), np.frombuffer(q).reshape(len(query_ids), -1)
                 rotated = np.frombuffer(rotated, np.float32).reshape(x.shape[1], len(ids))
                 turn = rotation(x.shape[1]) if turn is None else turn
                 turned = (q @ turn).astype(np.float32)
-                found = [scan_block(q[i], turned[i], ids, rotated, x, query_ids[i], k) for i in range(len(query_ids))]
+                # only vectors of a ring around the centroid can be near enough
+                radius, within, away = np.frombuffer(radius), np.frombuffer(within), _apart(q, shared.value[0][at])
+                reach = within + ROUNDING * (away + radius[-1])
+                lo, hi = np.searchsorted(radius, away - reach, "left"), np.searchsorted(radius, away + reach, "right")
+                found = [scan_block(q[i], turned[i], ids[a:z], rotated[:, a:z], x[a:z], query_ids[i], k, within[i])
+                         for i, (a, z) in enumerate(zip(lo, hi))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(query_ids, [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])),
                      pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "vec_id", "score"])
 
-    id_type = rows.schema["vec_id"].dataType.simpleString()
-    probes = written(asked.mapInArrow(probe, f"list int, vec_id {id_type}, v array<double>"), "ann-probes")
-    batches = _dealt(probes, BATCH_QUERIES).select("list", "vec_id", "v", "part").groupBy("list", "part") \
-        .applyInArrow(batch, "list int, query_ids binary, queries binary")
-    found = index.join(batches, "list").mapInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+    def scanned(asking: DataFrame, far: bool) -> DataFrame:
+        probes = written(asking.select("vec_id", "v", "within")
+                         .mapInArrow(probe(far), f"list int, vec_id {id_type}, v array<double>, within double"), "ann-probes")
+        batches = _dealt(probes, BATCH_QUERIES).select("list", "vec_id", "v", "within", "part").groupBy("list", "part") \
+            .applyInArrow(batch, "list int, query_ids binary, queries binary, withins binary")
+        return index.join(batches, "list").mapInArrow(search, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+
+    near = written(ranked(scanned(asked.withColumn("within", F.lit(float("inf"))), False)), "ann-near")
+    kth = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("within"))
+    further = asked.join(kth, "vec_id", "left").withColumn("within", F.coalesce("within", F.lit(float("inf"))))
+    return ranked(near.drop("rank").unionByName(scanned(further, True))).select("query_id", "rank", "vec_id", "score")
