@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, decontaminate, langid, licenses, line_dedup, mixing, pii, token_counts, warc
+from tidemark.llm.queries import catalog
 
 LONG = "word " * 20000
 ODD = [(1, None), (2, ""), (3, " \t\n"), (4, LONG), (5, "Ünï ☃"), (5, "Ünï ☃"), (None, "a b c")]
@@ -114,6 +115,24 @@ def test_base_spans(docs_of):
     assert got == sorted(((i or -1, base_spans(t)) for i, t in rows), key=str)
 
 
+def test_counts_of_each_kind(spark, docs_of, tmp_shared):
+    """The query's counts and digest on texts with several spans of several kinds, in every order."""
+    r = random.Random(9)
+    parts = ["a@b.c ", "1.2.3.4 x ", "4111 1111-1111 1111, ", "+1 (555) 123-4567; ", "x_a@b.c ", "00255.1.1.1 y ", "none "]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randint(1, 8)))) for i in range(200)] + ODD
+    docs_of(rows).write.parquet(f"{tmp_shared}/documents.parquet")
+    names = list(PLAIN)
+
+    def expected(i, text):
+        spans = base_spans(text)
+        digest = hashlib.sha256(",".join(f"{names[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+        return (i, *(sum(s[1] == k for s in spans) for k in range(4)), digest)
+
+    got = catalog()[0]["op3_personal_data"](spark, tmp_shared)
+    got = [tuple(x) for x in got.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256").collect()]
+    assert sorted(got, key=str) == sorted((expected(*row) for row in rows), key=str)
+
+
 def test_contexts_discover_identifiers(docs_of):
     rows = [(i, f"write to reach me: user{i}@mail.org now") for i in range(8)]
     rows += [(50, "write to reach me: hidden99887@localhost now"), (51, "some number 123456789 elsewhere")]

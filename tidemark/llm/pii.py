@@ -203,6 +203,11 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         .otherwise(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    """Number of the spans of a kind (a second parameter of the lambda would be the place in the array)."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
 def listed(spans: Column) -> Column:
     """Spans as ``kind:start:end``, comma-joined."""
     name = lambda s: reduce(lambda c, i: c.when(s["kind"] == i, F.lit(KINDS[i])), range(1, len(KINDS)),
