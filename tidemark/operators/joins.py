@@ -11,6 +11,7 @@ measured shuffle sizes.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,9 +45,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_probe_bytes: int = MAX_PROBE_BYTES) -> DataFrame:
     """``broadcast(df)`` when the bounded probe passes, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_probe_bytes) else df
+
+
+def broadcast_reduced(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """:func:`maybe_broadcast` for a side that an aggregate, a DISTINCT or a rank may have made small.
+
+    The optimizer's estimate of such a side is about that of its input, so it
+    is always counted (up to the bound): one more scan of the columns it needs,
+    against a shuffle of the whole other side, on keys of few values too.
+    """
+    return maybe_broadcast(df, max_rows, sys.maxsize)
 
 
 def left_join(left: DataFrame, right: DataFrame, on, *, right_filter: Column | None = None,

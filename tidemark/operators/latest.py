@@ -84,7 +84,8 @@ def latest_with_eod(df: DataFrame, keys: Sequence[ColumnLike], part_col: str,
 
 
 def flag_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
-                flag_col: str, yes: str = "Yes", no: str = "No", total: bool = False) -> DataFrame:
+                flag_col: str, yes: str = "Yes", no: str = "No", total: bool = False,
+                among: DataFrame | None = None) -> DataFrame:
     """Keep *every* row and flag the newest row of each key.
 
     ``order_desc`` is the newest-first ordering; rows that tie on it are ordered
@@ -98,12 +99,16 @@ def flag_latest(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
     found with ``max(struct(order))`` -- a partial/final aggregate that sends at
     most one row per key and map task -- and joined back on the key.  The join
     back is a plain equi-join, so AQE can split a skewed key on the big side.
+
+    ``among`` are the rows to rank where ``df`` holds them with more columns
+    joined to them: those joins are then not run for the ranking as well.
     """
-    rest = [f.name for f in df.schema.fields if f.name not in {*keys, *order_desc}
+    among = df if among is None else among
+    rest = [f.name for f in among.schema.fields if f.name not in {*keys, *order_desc}
             and "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
     ordered = F.struct(*[F.col(f"`{c}`") for c in [*order_desc, *([] if total else rest)]])
     renamed = [f"_k{i}" for i in range(len(keys))]
-    winners = (df.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
+    winners = (among.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
                  .agg(F.max(ordered).alias("_win")))
     # NULL keys form one group under ROW_NUMBER, so match them null-safely.
     cond = [df[k].eqNullSafe(winners[r]) for k, r in zip(keys, renamed)]
