@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import temporal as tf
 from tidemark.functions.casts import float_to_int64
 from tidemark.operators.aggregates import count_by, group_distinct, group_max
-from tidemark.operators.joins import only_keys, prefixed
+from tidemark.operators.joins import broadcast_reduced, left_join, only_keys, prefixed
 from tidemark.operators.latest import flag_latest, latest_per_key
 from tidemark.operators.migrate import backfill_latest
 from tidemark.operators.quality import control_vs_data
@@ -30,6 +30,8 @@ from tidemark.operators.unions import aligned, union_all
 
 PART = "_partition_date"
 Inputs = Mapping[str, DataFrame]
+#: Rows of the delivery fact (M18) in a task of its DISTINCT, about.
+FACT_ROWS_PER_TASK = 100_000
 
 
 def _desc(*cols: str) -> list[Column]:
@@ -305,8 +307,6 @@ def fact_transport_daily(inputs: Inputs) -> DataFrame:
     D = prefixed(i["deliveryconfirm"].select("TrackingNo", "company", "ReasonID", "ReasonName"), "d_")
     E = prefixed(i["jobreason"].select("ReasonID", "ReasonFrom", "ReasonName"), "e_")
     emp = i["employee"].select("EmployeeID", "CRCID")
-    F_ = prefixed(ctl.filter(F.col("PositionID") == "3"), "f_")              # J3 + J5
-    H_ = prefixed(ctl.filter(F.col("PositionID") == "4"), "h_")
     INF, INH, M1 = prefixed(emp, "inf_"), prefixed(emp, "inh_"), prefixed(emp, "m1_")
     M2 = prefixed(i["groupservice"].select("GroupID", "GroupName"), "m2_")
     G = prefixed(latest_per_key(i["vehicle_master"], ["VehicleID"],
@@ -319,25 +319,36 @@ def fact_transport_daily(inputs: Inputs) -> DataFrame:
                                    F.col("FleetContract").alias("VehicleType")), "w_")
     AM = prefixed(i["account"].select("account_id", "account_segment"), "am_")
 
+    # What hangs on a looked-up row is joined to that row, not to the heads: the same rows, and the
+    # heads go through an exchange only for sides too large to broadcast.  On keys of few values
+    # (vehicle, provider, service) an exchange would bring a large share of them into one task.
+    ZZ = ZZ.join(YY, (ZZ["zz_sono"] == YY["yy_so_no"]) & (ZZ["zz_company"] == YY["yy_company"]), "left")
+    C = C.join(M2, C["c_GroupID"] == M2["m2_GroupID"], "left")
+    D = left_join(D, broadcast_reduced(E), D["d_ReasonID"] == E["e_ReasonID"])
+    F_ = prefixed(ctl.filter(F.col("PositionID") == "3"), "f_")              # J3 + J5
+    H_ = prefixed(ctl.filter(F.col("PositionID") == "4"), "h_")
+    F_ = F_.join(INF, F_["f_EmployeeID"] == INF["inf_EmployeeID"], "left")
+    F_ = F_.join(M1, F_["f_DMEmployeeID"] == M1["m1_EmployeeID"], "left")
+    H_ = H_.join(INH, H_["h_EmployeeID"] == INH["inh_EmployeeID"], "left")
+    F_, H_ = (side.select(*[c for c in side.columns if c[2:] not in ("PositionID", "UpdateOn")]) for side in (F_, H_))
+
     x = A.join(ZZ, (A["DocumentNo"] == ZZ["zz_SSONo"]) & (A["company"] == ZZ["zz_company"]), "left")
-    x = x.join(YY, (x["zz_sono"] == YY["yy_so_no"]) & (x["zz_company"] == YY["yy_company"]), "left")
-    x = x.join(B, x["ProviderID"] == B["b_ProviderID"], "left")
-    x = x.join(C, x["ServiceType"] == C["c_ServiceID"], "left")
-    x = x.join(D, (x["TrackingNo"] == D["d_TrackingNo"]) & (x["company"] == D["d_company"]), "left")
-    x = x.join(E, x["d_ReasonID"] == E["e_ReasonID"], "left")
-    x = x.join(F_, (x["VehicleID"] == F_["f_VehicleID"]) & (x["DeliveryDate"] == F_["f_DeliveryDate"])
-               & (x["company"] == F_["f_company"]), "left")
-    x = x.join(INF, x["f_EmployeeID"] == INF["inf_EmployeeID"], "left")
-    x = x.join(H_, (x["VehicleID"] == H_["h_VehicleID"]) & (x["DeliveryDate"] == H_["h_DeliveryDate"])
-               & (x["company"] == H_["h_company"]), "left")
-    x = x.join(INH, x["h_EmployeeID"] == INH["inh_EmployeeID"], "left")
-    x = x.join(M1, x["f_DMEmployeeID"] == M1["m1_EmployeeID"], "left")
-    x = x.join(M2, x["c_GroupID"] == M2["m2_GroupID"], "left")
-    x = x.join(G, x["VehicleID"] == G["g_VehicleID"], "left")
-    x = x.join(V, x["VehicleID"] == V["v_VehicleID"], "left")
-    x = x.join(W, (x["VehicleID"] == W["w_VehicleID"])
-               & (F.to_date(x["DeliveryDate"]) == F.to_date(W["w_DeliveryDate"])), "left")
     x = x.join(AM, x["CustomerID"] == AM["am_account_id"], "left")
+    # The last exchange also serves the DISTINCT, whose hash tables hold a task's rows at full width,
+    # so its tasks are bounded by rows and not by their (compressed, narrow) bytes.
+    tasks = max(int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-heads.count() // FACT_ROWS_PER_TASK))
+    x = x.repartition(tasks, "TrackingNo", "company")
+    x = x.join(D, (x["TrackingNo"] == D["d_TrackingNo"]) & (x["company"] == D["d_company"]), "left")
+    x = left_join(x, broadcast_reduced(B), x["ProviderID"] == B["b_ProviderID"])
+    x = left_join(x, broadcast_reduced(C), x["ServiceType"] == C["c_ServiceID"])
+    x = left_join(x, broadcast_reduced(F_), (x["VehicleID"] == F_["f_VehicleID"]) & (x["DeliveryDate"] == F_["f_DeliveryDate"])
+                  & (x["company"] == F_["f_company"]))
+    x = left_join(x, broadcast_reduced(H_), (x["VehicleID"] == H_["h_VehicleID"]) & (x["DeliveryDate"] == H_["h_DeliveryDate"])
+                  & (x["company"] == H_["h_company"]))
+    x = left_join(x, broadcast_reduced(G), x["VehicleID"] == G["g_VehicleID"])
+    x = left_join(x, broadcast_reduced(V), x["VehicleID"] == V["v_VehicleID"])
+    x = left_join(x, broadcast_reduced(W), (x["VehicleID"] == W["w_VehicleID"])
+                  & (F.to_date(x["DeliveryDate"]) == F.to_date(W["w_DeliveryDate"])))
 
     def crc(p: str) -> Column:
         return (F.when(F.coalesce(F.col(f"{p}_CRCID"), F.lit("")) == "", F.col(f"{p}_EmployeeID"))
