@@ -37,6 +37,8 @@ COUNT_BITS = 20
 CHUNK = 1 << 12
 #: First width of the sliding window and its growth per round.
 WINDOW, GROWTH = 8, 8
+#: Codec of the largest tables in between: ids, sizes and places of many rows, on disk until the end.
+DENSE = "zstd"
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -170,7 +172,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     gives no rows; other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    sig = written(signatures(docs, shingle_levels(docs, k), k, num, den), "ngram-signatures")
+    sig = written(signatures(docs, shingle_levels(docs, k), k, num, den), "ngram-signatures", DENSE)
     classes = written(sig.where("n > 0 and doc_id is not null").groupBy("grp", "n", "digest")
                       .agg(F.min("doc_id").alias("rep")), "ngram-classes")
     groups = classes.groupBy("grp", "n").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("members"))
@@ -180,7 +182,7 @@ def jaccard_classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         F.row_number().over(Window.partitionBy("leader").orderBy("rep")).alias("place"))
     members = written(members, "ngram-members")
 
-    lists = written(_lists(_leaders(sig, groups)), "ngram-lists")
+    lists = written(_lists(_leaders(sig, groups)), "ngram-lists", DENSE)
     group_pairs = written(_near(lists, num, den), "ngram-group-pairs")
     has_crowds = not members.isEmpty()
 
@@ -299,7 +301,7 @@ def _lists(leaders: DataFrame) -> DataFrame:
     rows = (leaders.select("doc_id", "n", F.size("prefix").alias("length"), F.posexplode("prefix").alias("i", "token"))
             .withColumn("place", F.row_number().over(_in_list()))
             .withColumn("listed", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("listed > 1"))
-    rows = written(rows, "ngram-shared")
+    rows = written(rows, "ngram-shared", DENSE)
     of_doc = Window.partitionBy("doc_id")
     return rows.select("token", "doc_id", "n", "i", "place", "listed", (F.row_number().over(of_doc.orderBy("i")) - 1).alias("s"),
                        (F.col("length") - F.count(F.lit(1)).over(of_doc)).alias("rare"))
