@@ -89,3 +89,47 @@ def test_cases(spark, docs_of):
     assert sorted(((r.doc_id, r.component_id) for r in ngram_join.jaccard_classes(null, 4, 85, 100).collect()),
                   key=str) == [(5, 5), (6, 5), (None, None)]
     assert ngram_join.jaccard_classes(docs_of([]), 4, 85, 100).collect() == []
+
+
+def test_bitmaps_bound_the_intersection():
+    """Never below the true intersection, also where the bitmaps differ in size; close to it for similar sets."""
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    for n, m, both in [(0, 0, 0), (1, 1, 0), (1, 1, 1), (16, 17, 15), (17, 16, 16), (250, 260, 180), (700, 700, 560),
+                       (1024, 1025, 1000), (2000, 3, 2)]:
+        h = r.integers(0, 1 << 63, n + m - both, dtype=np.uint64)
+        x, y = np.sort(h[:n]), np.sort(h[n - both:])
+        most = ngram_join._most_shared(n, ngram_join._bitmap(x), m, ngram_join._bitmap(y))
+        assert both <= most <= min(n, m)
+        assert most <= both + 0.3 * (min(n, m) - both) + 2
+
+
+def test_only_similar_texts_are_compared(spark, docs_of, words, monkeypatch):
+    """Documents that share half of their text are candidates, but their texts are not sent to be compared."""
+    near = words(120)
+    rows = [(1, " ".join(near)), (2, " ".join([*near[:119], "other"]))]
+    common = words(60)
+    rows += [(10 + i, " ".join(common + words(60))) for i in range(30)]
+    asked = []
+    wanted = ngram_join._wanted
+    monkeypatch.setattr(ngram_join, "_wanted", lambda docs, pairs: asked.append(pairs.count()) or wanted(docs, pairs))
+    # all shingles at one level: the order, and so the prefix, is that of the hashes
+    import numpy as np
+    monkeypatch.setattr(ngram_join, "shingle_levels", lambda docs, k: np.zeros(1 << ngram_join.COUNT_BITS, dtype=np.uint8))
+    assert result(ngram_join.jaccard_classes(docs_of(rows), 4, 85, 100)) == brute(rows, 4, 85, 100)
+    assert asked[0] > 20 and asked[1] == 1
+
+
+def test_sieve_passes_few_rows_where_many_are_wanted(spark, monkeypatch):
+    """As many wanted values as there are coarse keys: nothing wanted is lost, few others pass, both calls give all rows."""
+    from tidemark.llm import scratch
+
+    monkeypatch.setattr(scratch, "COARSE_KEYS", 256)
+    rows = spark.range(6000).selectExpr("if(id = 0, null, id) as id", "id as row")
+    wanted = spark.range(6000).where("id % 20 = 1").selectExpr("if(id = 1, null, id) as w").union(spark.range(21, 22))
+    kept = {r.row for r in scratch.sifted(rows, "id", wanted, "w").collect()}
+    gone = {r.row for r in scratch.sifted(rows, "id", wanted, "w", keep=False).collect()}
+    assert {i for i in range(6000) if i % 20 == 1 and i != 1} <= kept and len(kept) < 600
+    assert not kept & gone and kept | gone == set(range(6000))
+    assert scratch.thinned(rows, "id", wanted, "w").count() > 3000
